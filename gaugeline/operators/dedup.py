@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Non-NULL keys that occur more than once.
+    """Keys that occur more than once; NULL counts as a key.
 
     Reads a single column; the count is combined on the map side, so a frequent key costs one
     partial row per task.
     """
-    return (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-            .filter("_n > 1").select(key))
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+            .select(F.col(key).alias("_repeated")))
 
 
 def flag_duplicates(df: DataFrame, key: str = "event_id", order: str = "timestamp",
@@ -32,12 +32,12 @@ def flag_duplicates(df: DataFrame, key: str = "event_id", order: str = "timestam
     """
     if repeated is None:
         repeated = repeated_keys(df, key)
-    single = (df.filter(F.col(key).isNotNull()).join(repeated, key, "left_anti")
-              .withColumn(flag, F.lit(False)))
-    contested = (df.filter(F.col(key).isNotNull()).join(repeated, key, "left_semi")
-                 .unionByName(df.filter(F.col(key).isNull())))
+    columns = df.columns
+    again = F.col(key).eqNullSafe(F.col("_repeated"))
+    single = df.join(repeated, again, "left_anti").withColumn(flag, F.lit(False))
+    contested = df.join(repeated, again, "left_semi")
     ranked = contested.withColumns({"_part": F.spark_partition_id(),
-                                    "_tie": F.xxhash64(*[F.col(c) for c in df.columns])})
+                                    "_tie": F.xxhash64(*columns)})
     newest_first = (F.col(order).desc(), F.col("_tie"))
     local = Window.partitionBy(key, "_part").orderBy(*newest_first)
     ranked = ranked.withColumn("_local", F.row_number().over(local))

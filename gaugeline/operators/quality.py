@@ -17,39 +17,42 @@ DUPLICATE_FLAG = "_duplicate"
 SEPARATOR = " | "
 
 
-def rule_conditions(columns: Iterable[str], rules: RuleSet, now_ms: int) -> list[tuple[str, Column]]:
-    """(reason, failing condition) in reporting order; rules on absent columns are skipped.
+def rule_conditions(columns: Iterable[str], rules: RuleSet, now_ms: int) -> list[tuple[str, str]]:
+    """(reason, failing condition as SQL) in reporting order; rules on absent columns are skipped.
 
     A condition that evaluates to NULL does not fail the row.
     """
     present = set(columns)
-    number = {c: F.col(c).try_cast("double") for c in present}
-    found: list[tuple[str, Column]] = []
+    found: list[tuple[str, str]] = []
+
+    def number(name: str) -> str:
+        return f"try_cast(`{name}` AS DOUBLE)"
+
+    def outside(name: str, accepted: tuple[str, ...]) -> str:
+        return f"`{name}` NOT IN ({', '.join(repr(v) for v in accepted)})"
 
     if DUPLICATE_FLAG in present:
-        found.append(("Duplicate event_id", F.col(DUPLICATE_FLAG)))
+        found.append(("Duplicate event_id", DUPLICATE_FLAG))
     if "data_quality" in present:
-        found.append(("Bad data_quality", ~F.col("data_quality").isin(*ACCEPTED_QUALITY)))
+        found.append(("Bad data_quality", outside("data_quality", ACCEPTED_QUALITY)))
     for name in rules.mandatory:
         if name in present:
-            value = F.col(name)
             found.append((f"Null mandatory field: {name}",
-                          value.isNull() | (value.cast("string") == "")))
+                          f"`{name}` IS NULL OR CAST(`{name}` AS STRING) = ''"))
     if "timestamp" in present:
-        ts = F.col("timestamp")
         limit = now_ms + FUTURE_ALLOWANCE_DAYS * MS_PER_DAY
-        found.append(("Invalid timestamp", ts.isNull() | (ts <= 0)))
-        found.append(("Future timestamp", ts > F.lit(limit)))
+        found.append(("Invalid timestamp", "`timestamp` IS NULL OR `timestamp` <= 0"))
+        found.append(("Future timestamp", f"`timestamp` > {limit}"))
     for name, (low, high) in rules.ranges.items():
         if name in present:
-            found.append((f"Out of range: {name}",
-                          (number[name] < float(low)) | (number[name] > float(high))))
+            found.append((f"Out of range: {name}", f"{number(name)} < {float(low)}D "
+                          f"OR {number(name)} > {float(high)}D"))
     for a, b, buffer in rules.greater:
         if a in present and b in present:
             found.append((f"Cross field error: {a} > {b}",
-                          number[a] + float(buffer) <= number[b]))
+                          f"{number(a)} + {float(buffer)}D <= {number(b)}"))
     if "health_status" in present:
-        found.append(("Invalid health_status", ~F.col("health_status").isin(*ACCEPTED_HEALTH)))
+        found.append(("Invalid health_status", outside("health_status", ACCEPTED_HEALTH)))
     return found
 
 
@@ -61,12 +64,13 @@ def apply_quality_rules(df: DataFrame, rules: RuleSet, now_ms: int | None = None
     """
     if now_ms is None:
         now_ms = int(time.time() * 1000)
+    columns = df.columns
     marked = flag_duplicates(df, "event_id", "timestamp", DUPLICATE_FLAG, repeated)
-    reasons = [F.when(condition, F.lit(reason))
-               for reason, condition in rule_conditions(marked.columns, rules, now_ms)]
-    return (marked.withColumn("failure_reason", F.concat_ws(SEPARATOR, *reasons))
-            .withColumn("is_valid", F.col("failure_reason") == "")
-            .select(*df.columns, "is_valid", "failure_reason"))
+    reasons = [f"CASE WHEN {condition} THEN '{reason}' END" for reason, condition
+               in rule_conditions([*columns, DUPLICATE_FLAG], rules, now_ms)]
+    reason = f"concat_ws('{SEPARATOR}', {', '.join(reasons)})"
+    return marked.select(*columns, F.expr(f"({reason}) = ''").alias("is_valid"),
+                         F.expr(reason).alias("failure_reason"))
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -15,6 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugeline.sources.storage import delete_tree, join_path
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a temporary one only on a single machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="gaugeline-")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame with its lineage cut by a reliable checkpoint."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 class Scratch:
     """Folder of one job run below ``spark.checkpoint.dir``.
 
@@ -24,11 +42,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self._spark = spark
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not spark.sparkContext.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            base = tempfile.mkdtemp(prefix="gaugeline-")
+        base = checkpoint_folder(spark)
         self._root = join_path(base, f"gaugeline-{name}-{uuid.uuid4().hex}")
         self._count = 0
 

@@ -16,6 +16,7 @@ from gaugeline.operators import (dedup, derived, dimensions, facts, kpis, ledger
 from gaugeline.operators.rules import RULES
 from gaugeline.plans.ingest import flatten_documents
 from gaugeline.sources.reference_data import fault_entries
+from gaugeline.sources.scratch import checkpointed
 from harness import telemetry as tm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,8 +56,8 @@ GRAINS = {"daily": ("date", DAY), "hourly": ("date, hour", f"{DAY}, hour")}
 def documents(spark: SparkSession, sf_dir: str, types: int = 4) -> DataFrame:
     """JSON text of one raw document per event, with two, no or NULL readings."""
     base = tm._spark_base(spark, sf_dir)
-    kind = F.expr("CASE u % %d %s ELSE 'boiler' END" % (
-        types, " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(tm.TYPES))))
+    branches = " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(tm.TYPES))
+    kind = F.expr(f"CASE u % {types} {branches} ELSE 'boiler' END")
     reading = F.transform(F.array(F.lit(0), F.lit(60000)), lambda shift: F.struct(
         F.concat(F.lit("E-"), F.col("e").cast("string"), F.lit("-"), shift.cast("string"))
         .alias("eventId"),
@@ -619,9 +620,13 @@ def upsert_merge(spark, sf_dir):
     SELECT event_id, timestamp, component_type, failure_reason FROM invalid i
     WHERE component_type NOT IN ('compressor', 'condenser')""")
 def dead_letter_merge(spark, sf_dir):
-    """Rejected rows of two components are stored, then all are sent; none is stored twice."""
+    """Rejected rows of two components are stored, then all are sent; none is stored twice.
+
+    As in the job, the rejected rows are settled before the merge reads them more than once.
+    """
     _, invalid = quality.split_valid(checked(spark, sf_dir))
-    rows = invalid.select("event_id", "timestamp", "component_type", "failure_reason")
+    rows = checkpointed(invalid.select("event_id", "timestamp", "component_type",
+                                       "failure_reason"))
     stored = rows.filter(F.col("component_type").isin("compressor", "condenser"))
     return merge.insert_only(stored, rows, ["event_id"])
 
