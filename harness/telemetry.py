@@ -155,6 +155,12 @@ def telemetry_sql() -> str:
             "AS faulty FROM raw)")
 
 
+def redelivered(base: DataFrame) -> DataFrame:
+    """Every reading, and those of type ``signup`` once more a minute later."""
+    times = F.expr("explode(CASE WHEN k = 'signup' THEN array(t, t + 60000) ELSE array(t) END)")
+    return base.select(*[c for c in base.columns if c != "t"], times.alias("t"))
+
+
 def dirty(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Staging rows of one component: text sensors, faults in every field, repeated ids.
 
@@ -162,7 +168,7 @@ def dirty(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """
     index = TYPES.index(kind)
     base = _spark_base(spark, sf_dir).filter(F.col("c") == index)
-    base = base.unionByName(base.filter("k = 'signup'").withColumn("t", F.col("t") + 60000))
+    base = redelivered(base)
     columns = {**{n: x for n, x in _STATE.items() if n not in _DIRTY}, **_DIRTY}
     rows = [_spark_expr(x).alias(n) for n, x in columns.items()]
     sensors = [F.when((F.col("v") >= 30) & (F.col("v") < 31), "n/a")
