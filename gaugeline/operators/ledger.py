@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Layout of raw paths and month folder names.
-RAW_PATH = r"location_[^/]*/([0-9]+)/([A-Za-z]+)/day([0-9]+)(?:/|$)"
+RAW_PATH = r"location_[^/]*/([0-9]+/[A-Za-z]+/day[0-9]+)(?:/|$)"
+RAW_DAY = "yyyy/MMMM/'day'd"
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
           "october", "november", "december")
 # End of fixed values.
@@ -16,13 +17,8 @@ MONTHS = ("january", "february", "march", "april", "may", "june", "july", "augus
 
 def discover_dates(paths: DataFrame, column: str = "path") -> DataFrame:
     """Distinct dates named by raw paths; other folders and impossible dates are skipped."""
-    path = F.col(column)
-    year, month, day = (F.regexp_extract(path, RAW_PATH, i) for i in (1, 2, 3))
-    number = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(month))
-    text = F.when((number > 0) & (F.length(year) <= 4) & (F.length(day) <= 2),
-                  F.format_string("%s-%02d-%s", F.lpad(year, 4, "0"), number, F.lpad(day, 2, "0")))
-    return (paths.select(F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date").alias("date"))
-            .filter("date IS NOT NULL").distinct())
+    day = F.try_to_timestamp(F.regexp_extract(column, RAW_PATH, 1), F.lit(RAW_DAY))
+    return paths.select(day.cast("date").alias("date")).filter("date IS NOT NULL").distinct()
 
 
 def reconcile(ledger: DataFrame | None, discovered: DataFrame) -> DataFrame:

@@ -106,8 +106,11 @@ def raw_documents_flattened(spark, sf_dir):
            CASE WHEN u % 6 = 0 THEN count(v) END AS pressures
     FROM readings WHERE u % 6 < 4 GROUP BY u % 6""")
 def components_routed(spark, sf_dir):
-    """Rows per component table; unknown component types fall away."""
-    frames = reshape.route(flatten_documents(parsed(spark, sf_dir, types=6)))
+    """Rows per component table; unknown component types fall away.
+
+    As in the job, documents are parsed once before four tables are taken from them.
+    """
+    frames = reshape.route(checkpointed(flatten_documents(parsed(spark, sf_dir, types=6))))
     return (reshape.union_components(frames).groupBy(F.col("componentType").alias("component_type"))
             .agg(F.count("*").alias("readings"),
                  F.when(F.col("component_type") == "compressor", F.count("dischargePressureKpa"))
@@ -634,14 +637,12 @@ def dead_letter_merge(spark, sf_dir):
 
 def _raw_paths(spark, sf_dir) -> DataFrame:
     """A raw path per shipment, some of them in folders that are no dates."""
-    day = F.col("l_shipdate")
-    month = F.lower(F.date_format(day, "MMMM"))
-    folder = (F.when(F.col("l_returnflag") == "A", F.format_string("day%d", F.dayofmonth(day) + 31))
-              .when(F.col("l_linenumber") == 1, F.lit("daily"))
-              .otherwise(F.format_string("day%d", F.dayofmonth(day))))
-    return tm.load(spark, sf_dir, "lineitem").select(F.concat_ws(
-        "/", F.lit("raw"), F.format_string("location_%02d", F.col("l_suppkey")),
-        F.year(day).cast("string"), month, folder, F.lit("x.json")).alias("path"))
+    folder = ("CASE WHEN l_returnflag = 'A' THEN concat('day', day(l_shipdate) + 31) "
+              "WHEN l_linenumber = 1 THEN 'daily' ELSE concat('day', day(l_shipdate)) END")
+    month = f"element_at(array({', '.join(repr(m) for m in ledger.MONTHS)}), month(l_shipdate))"
+    return tm.load(spark, sf_dir, "lineitem").selectExpr(
+        f"concat_ws('/', 'raw', concat('location_', l_suppkey), year(l_shipdate), {month}, "
+        f"{folder}, 'x.json') AS path")
 
 
 _SHIPPED = ("shipped AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem "
