@@ -25,6 +25,9 @@ def _parser() -> argparse.ArgumentParser:
         if name != "bronze":
             job.add_argument("--start-date", type=_date)
             job.add_argument("--end-date", type=_date)
+        if name != "gold":
+            job.add_argument("--ids-fix-date", action="store_true",
+                             help="an event id implies its date: merge within the dates at hand")
         if name == "gold":
             job.add_argument("--config-dir", required=True)
     check = jobs.add_parser("ledger-check")
@@ -43,13 +46,15 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = get_session(f"gaugeline-{args.job}")
     if args.job == "bronze":
-        result = ingest.raw_to_bronze(spark, args.input_dir, args.output_dir, fmt=args.format)
+        result = ingest.raw_to_bronze(spark, args.input_dir, args.output_dir, fmt=args.format,
+                                      ids_fix_date=args.ids_fix_date)
     elif args.job == "staging":
         result = ingest.bronze_to_staging(spark, args.input_dir, args.output_dir, args.start_date,
-                                          args.end_date, args.format)
+                                          args.end_date, args.format, args.ids_fix_date)
     elif args.job == "silver":
         result = silver.staging_to_silver(spark, args.input_dir, args.output_dir, args.start_date,
-                                          args.end_date, fmt=args.format)
+                                          args.end_date, fmt=args.format,
+                                          ids_fix_date=args.ids_fix_date)
     elif args.job == "gold":
         result = gold.silver_to_gold(spark, args.input_dir, args.output_dir, args.config_dir,
                                      args.start_date, args.end_date, args.format)

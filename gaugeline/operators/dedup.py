@@ -51,17 +51,16 @@ def flag_duplicates(df: DataFrame, key: str = "event_id", order: str = "timestam
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                    order: str = "timestamp") -> DataFrame:
-    """One row per key: the attribute values seen last.
+    """One row per key: the attribute values seen last, equal times settled by value.
 
-    Grouping by key and attributes first leaves one row per distinct combination, so the ranking
-    that follows sees the history of a key, not its readings. Equal times are settled by value.
+    Grouping by key and attributes first leaves one row per distinct combination; the second
+    aggregation is combined on the map side too, so no task has to hold one key's whole history.
     """
     attributes = [c for c in columns if c not in keys]
     history = df.groupBy(*keys, *attributes).agg(F.max(order).alias("_seen"))
-    newest = Window.partitionBy(*keys).orderBy(F.col("_seen").desc(),
-                                               *[F.col(c) for c in attributes])
-    return (history.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1")
-            .select(*columns))
+    newest = F.max(F.struct("_seen", *attributes)).alias("_newest")
+    return (history.groupBy(*keys).agg(newest)
+            .select(*keys, *[F.col("_newest")[c].alias(c) for c in attributes]).select(*columns))
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -98,15 +98,16 @@ def energy_consumption(df: DataFrame, grain: str = "daily") -> DataFrame:
 
 # Machine alerts ---------------------------------------------------------------------------
 
-def alert_parts(df: DataFrame) -> DataFrame:
-    """Critical and warning readings per machine, hour and fault code.
+def alert_parts(df: DataFrame, grain: str = "hourly") -> DataFrame:
+    """Critical and warning readings per machine, hour (or day) and fault code.
 
     Keeping the code as a key makes distinct counts mergeable: a coarser grain groups by code
     again and counts rows. Codes that are missing, not positive or NaN share the NULL code.
     """
     code = F.col("health_active_fault_code").cast("double")
     usable = F.when((code > 0) & ~F.isnan(code), code)
-    return df.groupBy("date", "hour", *_MACHINE, usable.alias("fault_code")).agg(
+    coded = df.withColumn("fault_code", usable)
+    return coded.groupBy(*_keys(grain, _MACHINE), "fault_code").agg(
         F.count_if(F.col("health_status") == CRITICAL).alias("sum__critical"),
         F.count_if(F.col("health_status") == WARNING).alias("sum__warning"))
 
@@ -121,7 +122,7 @@ def alerts_from_parts(parts: DataFrame, grain: str = "daily") -> DataFrame:
 
 
 def machine_alerts(df: DataFrame, grain: str = "daily") -> DataFrame:
-    return alerts_from_parts(alert_parts(df), grain)
+    return alerts_from_parts(alert_parts(df, grain), grain)
 
 
 # Machine performance ----------------------------------------------------------------------

@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is complete; a NULL in any part means no match."""
+    return df.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+
+
 def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks; a NULL key never matches.
 
@@ -15,7 +20,7 @@ def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
     broadcast and the target is only scanned for its key columns, not shuffled.
     """
     keys = list(keys)
-    wanted = source.select(*keys).dropna().distinct()
+    wanted = _known_keys(source.select(*keys), keys).distinct()
     held = target.select(*keys).join(wanted, keys, "left_semi")
     return source.join(held, keys, "left_anti")
 
@@ -32,7 +37,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     several target rows updates each of them.
     """
     keys = list(keys)
-    kept = target.join(source.select(*keys).dropna().distinct(), keys, "left_anti")
+    kept = target.join(_known_keys(source.select(*keys), keys).distinct(), keys, "left_anti")
     target_only = [c for c in target.columns if c not in source.columns]
     written = source.join(target.select(*keys, *target_only), keys, "left")
     return kept.unionByName(written, allowMissingColumns=True)
@@ -41,6 +46,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that would update one target row from several source rows; an upsert must see none."""
     keys = list(keys)
-    repeated = (source.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = (_known_keys(source, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
                 .filter("_n > 1").drop("_n"))
     return repeated.join(target.select(*keys), keys, "left_semi")

@@ -78,17 +78,16 @@ def with_new_event(df: DataFrame, key: str = "component_id", order: str = "times
         F.max(state.cast("int")).alias("_some"), F.min(state.cast("int")).alias("_every"),
         F.min(F.when(state, F.col(row_id))).alias("_first"))
     points = _onsets(points, key, order, (), bucket_ms)
-    closings = points.groupBy(key, "_bucket").agg(F.max("_closing").alias("_state"))
-    past = Window.partitionBy(key).orderBy("_bucket")
-    settled = (closings.withColumn("_carried", F.coalesce(F.lag("_state").over(past), F.lit(0)))
-               .filter("_carried = 0").select(F.col(key).alias("_key"), F.col("_bucket").alias("_b")))
-    certain = points.filter("_onset = 1")
-    pending = points.filter("_onset = 0 and _open = 1").join(
-        settled, F.col(key).eqNullSafe(F.col("_key"))
-        & F.col("_bucket").eqNullSafe(F.col("_b")), "left_semi")
-    onsets = certain.unionByName(pending).select(
-        F.col(key).alias("_key"), F.col(order).alias("_at"), "_first",
-        F.lit(1).alias("_new"))
+    opening = F.col("_open") == 1
+    buckets = points.groupBy(key, "_bucket").agg(
+        F.max("_closing").alias("_state"), F.max(F.when(opening, F.col(order))).alias("_at"),
+        F.max(F.when(opening, F.col("_first"))).alias("_first"), F.max("_open").alias("_open"))
+    before = F.lag("_state").over(Window.partitionBy(key).orderBy("_bucket"))
+    settled = (buckets.withColumn("_carried", F.coalesce(before, F.lit(0)))
+               .filter("_open = 1 and _carried = 0").select(F.col(key).alias("_key"), "_at", "_first"))
+    certain = points.filter("_onset = 1").select(F.col(key).alias("_key"),
+                                                 F.col(order).alias("_at"), "_first")
+    onsets = certain.unionByName(settled).withColumn("_new", F.lit(1))
     match = (F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_at"))
              & F.col(row_id).eqNullSafe(F.col("_first")) & is_faulty(F.col("health_status")))
     return (df.join(onsets, match, "left")

@@ -1,8 +1,9 @@
 """Silver to gold: dimensions, facts and KPIs.
 
-Silver is read twice, whatever the number of gold tables: once with the sensor columns for the
-hourly partial aggregates of each component, and once with a few narrow columns for health states
-and fault codes. Both results are stored; all facts and KPIs derive from them.
+The number of passes over silver does not depend on the number of gold tables: one over the sensor
+columns for the hourly partial aggregates of each component, and narrow ones for health states,
+fault codes and component attributes. The aggregates are stored; all facts and KPIs derive from
+them.
 """
 
 from __future__ import annotations

@@ -24,11 +24,14 @@ def flatten_documents(raw: DataFrame) -> DataFrame:
 
 def raw_to_bronze(spark: SparkSession, input_dir: str, output_dir: str,
                   dates: Iterable[dt.date] | None = None, schema: T.StructType | None = None,
-                  multi_line: bool = True, fmt: str = "parquet") -> list[str]:
+                  multi_line: bool = True, fmt: str = "parquet", ids_fix_date: bool = False
+                  ) -> list[str]:
     """Write one bronze table per component type; returns the types that had data.
 
     The documents are parsed once, into a scratch table split by component type: JSON is the
-    dearest format to read and one folder tree holds all four types.
+    dearest format to read and one folder tree holds all four types. ``ids_fix_date`` says that an
+    event id implies its date (ids made from device and time do); merges then read only the dates
+    of the batch instead of the key column of the whole table.
     """
     raw = read_raw(spark, input_dir, dates, multi_line, schema)
     if raw is None:
@@ -40,13 +43,13 @@ def raw_to_bronze(spark: SparkSession, input_dir: str, output_dir: str,
             if rows.isEmpty():
                 continue
             merge_insert(rows, join_path(output_dir, component), ["eventId"], ["date"], fmt,
-                         rebalance=True)
+                         ids_fix_date, rebalance=True)
             written.append(component)
     return written
 
 
 def bronze_to_staging(spark: SparkSession, input_dir: str, output_dir: str, start=None, end=None,
-                      fmt: str = "parquet") -> list[str]:
+                      fmt: str = "parquet", ids_fix_date: bool = False) -> list[str]:
     """Rename to snake_case and merge on the event id; absent or empty tables are skipped."""
     written = []
     for component in COMPONENTS:
@@ -56,7 +59,8 @@ def bronze_to_staging(spark: SparkSession, input_dir: str, output_dir: str, star
         rows = snake_case_columns(between_dates(bronze, start, end))
         if rows.isEmpty():
             continue
-        merge_insert(rows, join_path(output_dir, component), ["event_id"], ["date"], fmt)
+        merge_insert(rows, join_path(output_dir, component), ["event_id"], ["date"], fmt,
+                     ids_fix_date)
         written.append(component)
     return written
 

@@ -20,7 +20,7 @@ DEAD_LETTERS = "dlq"
 
 def staging_to_silver(spark: SparkSession, input_dir: str, output_dir: str, start=None, end=None,
                       now_ms: int | None = None, rules: dict[str, RuleSet] | None = None,
-                      fmt: str = "parquet") -> dict[str, dict[str, int]]:
+                      fmt: str = "parquet", ids_fix_date: bool = False) -> dict[str, dict[str, int]]:
     """Valid rows to ``<component>``, rejected ones with their reasons to ``dlq/<component>``.
 
     Returns the gate counters per component. They are observed while the rejected rows are
@@ -48,8 +48,9 @@ def staging_to_silver(spark: SparkSession, input_dir: str, output_dir: str, star
             counters[component] = seen.get
             if counters[component]["valid_records"]:
                 valid, _ = split_valid(checked)
-                merge_insert(valid, join_path(output_dir, component), ["event_id"], ["date"], fmt)
+                merge_insert(valid, join_path(output_dir, component), ["event_id"], ["date"], fmt,
+                             ids_fix_date)
             if counters[component]["invalid_records"]:
                 merge_insert(rejected, join_path(output_dir, DEAD_LETTERS, component),
-                             ["event_id"], ["date"], fmt)
+                             ["event_id"], ["date"], fmt, ids_fix_date)
     return counters

@@ -8,7 +8,7 @@ session has it; everything else is done with plain Spark writes.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,13 +71,26 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
         _record_schema(df.sparkSession, path, df.schema)
 
 
+def _touched_values(source: DataFrame, column: str) -> tuple[list, bool]:
+    """Partition values of a batch - one per day - and whether NULL is among them."""
+    values = [row[0] for row in source.select(column).distinct().collect()]
+    return [v for v in values if v is not None], None in values
+
+
+def _in_partitions(df: DataFrame, column: str, source: DataFrame) -> DataFrame:
+    values, with_null = _touched_values(source, column)
+    condition = F.col(column).isin(values)
+    return df.filter(condition | F.col(column).isNull() if with_null else condition)
+
+
 def merge_insert(df: DataFrame, path: str, keys: Sequence[str],
                  partition_by: Sequence[str] = (), fmt: str = "parquet",
-                 within: Iterable | None = None, rebalance: bool = False) -> None:
+                 key_fixes_partition: bool = False, rebalance: bool = False) -> None:
     """Insert rows whose key the table lacks; the first write of a key wins.
 
-    The first write to a new table appends everything. ``within`` limits the comparison to those
-    values of the first partition column - only where the key determines that column.
+    The first write to a new table appends everything. By default keys are compared with the whole
+    table. Where a key always comes with the same partition value, ``key_fixes_partition`` limits
+    the comparison to the partitions of the batch.
     """
     spark = df.sparkSession
     target = read_table(spark, path, fmt)
@@ -86,8 +99,8 @@ def merge_insert(df: DataFrame, path: str, keys: Sequence[str],
     elif fmt == "delta":
         _delta_merge(df, path, keys, update=False)
     else:
-        if within is not None:
-            target = target.filter(F.col(partition_by[0]).isin(list(within)))
+        if key_fixes_partition and partition_by:
+            target = _in_partitions(target, partition_by[0], df)
         append(merge.unmatched(target, df, keys), path, partition_by, fmt,
                rebalance=bool(partition_by))
 
@@ -113,12 +126,7 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], scratch: Scratch,
     if partition_by:
         if not set(partition_by) <= set(keys):
             raise ValueError("partition columns must be part of the key")
-        touched = source.select(partition_by[0]).distinct()
-        # One value per day in the run; a NULL value names the default partition.
-        values = [row[0] for row in touched.collect()]
-        column = F.col(partition_by[0])
-        condition = column.isin([v for v in values if v is not None])
-        target = target.filter(condition | column.isNull() if None in values else condition)
+        target = _in_partitions(target, partition_by[0], source)
     if not merge.ambiguous_keys(target, source, keys).isEmpty():
         raise AmbiguousMergeError(f"{path}: several source rows for one key {list(keys)}")
     merged = merge.upsert(target, source, keys)

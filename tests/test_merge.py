@@ -61,7 +61,7 @@ def test_merge_insert_within_partitions(spark, tmp_path):
     schema = "k string, date date"
     tables.merge_insert(spark.createDataFrame([("a", D1), ("b", D2)], schema), path, ["k"], ["date"])
     tables.merge_insert(spark.createDataFrame([("b", D2), ("c", D2)], schema), path, ["k"], ["date"],
-                        within=[D2])
+                        key_fixes_partition=True)
     assert rowset(tables.read_table(spark, path).select("k")) == ["('a',)", "('b',)", "('c',)"]
 
 
