@@ -14,6 +14,13 @@ def _date(text: str) -> dt.date:
     return dt.date.fromisoformat(text)
 
 
+def _days(start: dt.date | None, end: dt.date | None) -> list[dt.date] | None:
+    """The raw folders to read: all, unless both ends of a range are given."""
+    if start is None or end is None:
+        return None
+    return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="gaugeline")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -22,9 +29,8 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--input-dir", required=True)
         job.add_argument("--output-dir", required=True)
         job.add_argument("--format", default="parquet")
-        if name != "bronze":
-            job.add_argument("--start-date", type=_date)
-            job.add_argument("--end-date", type=_date)
+        job.add_argument("--start-date", type=_date)
+        job.add_argument("--end-date", type=_date)
         if name != "gold":
             job.add_argument("--ids-fix-date", action="store_true",
                              help="an event id implies its date: merge within the dates at hand")
@@ -46,7 +52,8 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = get_session(f"gaugeline-{args.job}")
     if args.job == "bronze":
-        result = ingest.raw_to_bronze(spark, args.input_dir, args.output_dir, fmt=args.format,
+        result = ingest.raw_to_bronze(spark, args.input_dir, args.output_dir,
+                                      _days(args.start_date, args.end_date), fmt=args.format,
                                       ids_fix_date=args.ids_fix_date)
     elif args.job == "staging":
         result = ingest.bronze_to_staging(spark, args.input_dir, args.output_dir, args.start_date,

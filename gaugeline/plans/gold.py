@@ -8,12 +8,16 @@ them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeline import COMPONENTS
 from gaugeline.operators import dimensions, facts, kpis
 from gaugeline.operators.reshape import between_dates, prepare_telemetry, union_components
 from gaugeline.operators.transitions import health_hours
+from gaugeline.plans.concurrent import run_all
 from gaugeline.sources.reference_data import read_fault_codes, read_topology
 from gaugeline.sources.scratch import Scratch
 from gaugeline.sources.storage import join_path
@@ -27,17 +31,23 @@ _STATE_COLUMNS = ("date", "hour", "timestamp", "location_id", "hvac_machine_id",
 
 
 class _Gold:
-    """Writer bound to one run."""
+    """Writer bound to one run: ``add`` names tables, ``flush`` writes them side by side."""
 
     def __init__(self, output_dir: str, scratch: Scratch, fmt: str):
         self._output_dir, self._scratch, self._fmt = output_dir, scratch, fmt
-        self.tables: list[str] = []
+        self._waiting: dict[str, Callable[[], DataFrame]] = {}
+        self.written: dict[str, DataFrame] = {}
+
+    def add(self, name: str, df: DataFrame | None, keys: list[str], partitioned: bool = True
+            ) -> None:
+        if df is not None:
+            self._waiting[name] = partial(
+                upsert, df, join_path(self._output_dir, name), keys, self._scratch,
+                ["date"] if partitioned else [], self._fmt)
 
-    def write(self, name: str, df: DataFrame, keys: list[str], partitioned: bool = True
-              ) -> DataFrame:
-        self.tables.append(name)
-        return upsert(df, join_path(self._output_dir, name), keys, self._scratch,
-                      ["date"] if partitioned else [], self._fmt)
+    def flush(self) -> None:
+        self.written.update(run_all(self._waiting))
+        self._waiting = {}
 
 
 def read_silver(spark: SparkSession, input_dir: str, start=None, end=None, fmt: str = "parquet"
@@ -54,14 +64,13 @@ def read_silver(spark: SparkSession, input_dir: str, start=None, end=None, fmt:
     return frames
 
 
-def write_reference_dimensions(spark: SparkSession, config_dir: str, gold: _Gold) -> None:
+def add_reference_dimensions(spark: SparkSession, config_dir: str, gold: _Gold) -> None:
     topology = read_topology(spark, config_dir)
-    gold.write("dim_company", dimensions.dim_company(topology["customers"]), ["company_id"], False)
-    gold.write("dim_location", dimensions.dim_location(topology["locations"]), ["location_id"],
-               False)
-    gold.write("dim_hvac_machine", dimensions.dim_hvac_machine(topology["hvac_machines"]),
-               ["hvac_machine_id"], False)
-    gold.write("dim_fault_code", dimensions.dim_fault_code(
+    gold.add("dim_company", dimensions.dim_company(topology["customers"]), ["company_id"], False)
+    gold.add("dim_location", dimensions.dim_location(topology["locations"]), ["location_id"], False)
+    gold.add("dim_hvac_machine", dimensions.dim_hvac_machine(topology["hvac_machines"]),
+             ["hvac_machine_id"], False)
+    gold.add("dim_fault_code", dimensions.dim_fault_code(
         read_fault_codes(spark, join_path(config_dir, FAULT_FILE))), ["fault_code_key"], False)
 
 
@@ -70,58 +79,57 @@ def silver_to_gold(spark: SparkSession, input_dir: str, output_dir: str, config_
     """Write all gold tables for the date range; returns their names."""
     with Scratch(spark, "gold") as scratch:
         gold = _Gold(output_dir, scratch, fmt)
-        write_reference_dimensions(spark, config_dir, gold)
+        add_reference_dimensions(spark, config_dir, gold)
+        gold.flush()
         silver = read_silver(spark, input_dir, start, end, fmt)
         if not silver:
-            return gold.tables
+            return list(gold.written)
 
-        parts = {c: scratch.store(facts.component_parts(df, c)) for c, df in silver.items()}
         states = union_components({c: df.select(*_STATE_COLUMNS) for c, df in silver.items()})
-        hours = scratch.store(health_hours(states))
-        alert_parts = scratch.store(facts.alert_parts(states))
+        stored = run_all({
+            **{c: partial(scratch.store, facts.component_parts(df, c)) for c, df in silver.items()},
+            "hours": partial(scratch.store, health_hours(states)),
+            "alerts": partial(scratch.store, facts.alert_parts(states))})
+        hours, alert_parts = stored.pop("hours"), stored.pop("alerts")
+        parts, compressor = stored, stored.get("compressor")
 
         described = union_components({
             c: df.select("timestamp", *[x for x in dimensions.COMPONENT_COLUMNS if x in df.columns])
             for c, df in silver.items()})
-        gold.write("dim_component", dimensions.dim_component(described), ["component_id"], False)
-        gold.write("dim_date", dimensions.dim_date(hours), ["date"], False)
-
-        day, hour = ["date"], ["date", "hour"]
-        written: dict[str, DataFrame] = {}
-        for grain, keys in (("daily", day), ("hourly", hour)):
-            def fact(name: str, df: DataFrame | None, entity: str, grain=grain, keys=keys) -> None:
-                if df is not None:
-                    table = f"{name}_{grain}"
-                    written[table] = gold.write(table, df, [*keys, entity])
-
-            energy = union_components({c: facts.energy_from_parts(p, grain)
-                                       for c, p in parts.items()})
-            fact("fact_component_health", facts.health_from_hours(hours, grain), "component_id")
-            fact("fact_energy_consumption", energy, "component_id")
-            fact("fact_machine_alerts", facts.alerts_from_parts(alert_parts, grain),
-                 "hvac_machine_id")
+        gold.add("dim_component", dimensions.dim_component(described), ["component_id"], False)
+        gold.add("dim_date", dimensions.dim_date(hours), ["date"], False)
+        for grain, keys in facts.GRAIN_KEYS.items():
+            of_component, of_machine = [*keys, "component_id"], [*keys, "hvac_machine_id"]
+            gold.add(f"fact_component_health_{grain}", facts.health_from_hours(hours, grain),
+                     of_component)
+            gold.add(f"fact_energy_consumption_{grain}", union_components(
+                {c: facts.energy_from_parts(p, grain) for c, p in parts.items()}), of_component)
+            gold.add(f"fact_machine_alerts_{grain}", facts.alerts_from_parts(alert_parts, grain),
+                     of_machine)
             for component, p in parts.items():
-                fact(f"fact_{component}_metrics",
-                     facts.metrics_from_parts(p, facts.METRIC_FAMILIES[component], grain),
-                     "component_id")
-        compressor = parts.get("compressor")
-        performance = None
+                gold.add(f"fact_{component}_metrics_{grain}", facts.metrics_from_parts(
+                    p, facts.METRIC_FAMILIES[component], grain), of_component)
         if compressor is not None:
-            performance = gold.write("fact_machine_performance_daily",
-                                     facts.performance_from_parts(compressor),
-                                     [*day, "hvac_machine_id"])
-
-        machines = scratch.store(kpis.machine_health(written["fact_component_health_daily"]))
-        energy, alerts = (written["fact_energy_consumption_daily"],
-                          written["fact_machine_alerts_daily"])
-        online = (kpis.machines_online(None, machines) if compressor is None
-                  else kpis.online_from_parts(compressor))
-        gold.write(join_path(KPI_FOLDER, "kpi_fleet_summary_daily"), kpis.fleet_summary(
-            machines, online, kpis.fleet_bands(machines), energy, compressor, alerts), day)
-        gold.write(join_path(KPI_FOLDER, "kpi_location_energy_daily"),
-                   kpis.location_energy(energy), [*day, "location_id"])
-        gold.write(join_path(KPI_FOLDER, "kpi_location_performance_summary"),
-                   kpis.location_performance(machines, alerts, performance),
-                   [*day, "location_id"])
-        return gold.tables
-
+            gold.add("fact_machine_performance_daily", facts.performance_from_parts(compressor),
+                     ["date", "hvac_machine_id"])
+        gold.flush()
+        _add_kpis(gold, scratch, compressor)
+        gold.flush()
+        return list(gold.written)
+
+
+def _add_kpis(gold: _Gold, scratch: Scratch, compressor: DataFrame | None) -> None:
+    """KPIs from the facts of this run."""
+    def fact(name: str) -> DataFrame | None:
+        return gold.written.get(f"fact_{name}_daily")
+
+    machines = scratch.store(kpis.machine_health(fact("component_health")))
+    energy, alerts = fact("energy_consumption"), fact("machine_alerts")
+    online = (kpis.machines_online(None, machines) if compressor is None
+              else kpis.online_from_parts(compressor))
+    gold.add(f"{KPI_FOLDER}/kpi_fleet_summary_daily", kpis.fleet_summary(
+        machines, online, kpis.fleet_bands(machines), energy, compressor, alerts), ["date"])
+    gold.add(f"{KPI_FOLDER}/kpi_location_energy_daily", kpis.location_energy(energy),
+             ["date", "location_id"])
+    gold.add(f"{KPI_FOLDER}/kpi_location_performance_summary", kpis.location_performance(
+        machines, alerts, fact("machine_performance")), ["date", "location_id"])

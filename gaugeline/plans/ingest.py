@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from gaugeline import COMPONENTS
 from gaugeline.operators.reshape import (between_dates, explode_records, flatten_record, route,
                                          snake_case_columns, with_event_date)
+from gaugeline.plans.concurrent import run_all
 from gaugeline.sources.raw import read_raw
 from gaugeline.sources.scratch import Scratch
 from gaugeline.sources.storage import join_path
@@ -38,29 +40,31 @@ def raw_to_bronze(spark: SparkSession, input_dir: str, output_dir: str,
         return []
     with Scratch(spark, "bronze") as scratch:
         flat = scratch.store(flatten_documents(raw), partition_by=("componentType",))
-        written = []
-        for component, rows in route(flat).items():
+
+        def write(component: str, rows: DataFrame) -> bool:
             if rows.isEmpty():
-                continue
+                return False
             merge_insert(rows, join_path(output_dir, component), ["eventId"], ["date"], fmt,
                          ids_fix_date, rebalance=True)
-            written.append(component)
-    return written
+            return True
+
+        done = run_all({c: partial(write, c, rows) for c, rows in route(flat).items()})
+    return [component for component, wrote in done.items() if wrote]
 
 
 def bronze_to_staging(spark: SparkSession, input_dir: str, output_dir: str, start=None, end=None,
                       fmt: str = "parquet", ids_fix_date: bool = False) -> list[str]:
     """Rename to snake_case and merge on the event id; absent or empty tables are skipped."""
-    written = []
-    for component in COMPONENTS:
+    def write(component: str) -> bool:
         bronze = read_table(spark, join_path(input_dir, component), fmt)
         if bronze is None:
-            continue
+            return False
         rows = snake_case_columns(between_dates(bronze, start, end))
         if rows.isEmpty():
-            continue
+            return False
         merge_insert(rows, join_path(output_dir, component), ["event_id"], ["date"], fmt,
                      ids_fix_date)
-        written.append(component)
-    return written
+        return True
 
+    done = run_all({c: partial(write, c) for c in COMPONENTS})
+    return [component for component, wrote in done.items() if wrote]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from functools import partial
 
 from pyspark.sql import Observation, SparkSession
 
@@ -11,6 +12,7 @@ from gaugeline.operators.dedup import repeated_keys
 from gaugeline.operators.quality import (apply_quality_rules, gate_metrics, quarantine, split_valid)
 from gaugeline.operators.reshape import between_dates
 from gaugeline.operators.rules import RULES, RuleSet
+from gaugeline.plans.concurrent import run_all
 from gaugeline.sources.scratch import Scratch
 from gaugeline.sources.storage import join_path
 from gaugeline.sources.tables import merge_insert, read_table
@@ -30,27 +32,30 @@ def staging_to_silver(spark: SparkSession, input_dir: str, output_dir: str, star
     """
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     rules = RULES if rules is None else rules
-    counters: dict[str, dict[str, int]] = {}
     with Scratch(spark, "silver") as scratch:
-        for component in COMPONENTS:
+
+        def gate(component: str) -> dict[str, int] | None:
             staged = read_table(spark, join_path(input_dir, component), fmt)
             if staged is None:
-                continue
+                return None
             staged = between_dates(staged, start, end)
             if staged.isEmpty():
-                continue
+                return None
             repeated = scratch.store(repeated_keys(staged, "event_id"))
             checked = apply_quality_rules(staged, rules.get(component, RuleSet()), now_ms, repeated)
             seen = Observation(f"gate-{component}")
             _, invalid = split_valid(checked.observe(seen, *gate_metrics()))
             # Stored first: the merge below reads it twice, and the counters must not depend on it.
             rejected = scratch.store(quarantine(invalid))
-            counters[component] = seen.get
-            if counters[component]["valid_records"]:
+            counted = seen.get
+            if counted["valid_records"]:
                 valid, _ = split_valid(checked)
                 merge_insert(valid, join_path(output_dir, component), ["event_id"], ["date"], fmt,
                              ids_fix_date)
-            if counters[component]["invalid_records"]:
+            if counted["invalid_records"]:
                 merge_insert(rejected, join_path(output_dir, DEAD_LETTERS, component),
                              ["event_id"], ["date"], fmt, ids_fix_date)
-    return counters
+            return counted
+
+        done = run_all({c: partial(gate, c) for c in COMPONENTS})
+    return {component: counted for component, counted in done.items() if counted is not None}

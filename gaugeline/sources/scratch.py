@@ -44,12 +44,10 @@ class Scratch:
         self._spark = spark
         base = checkpoint_folder(spark)
         self._root = join_path(base, f"gaugeline-{name}-{uuid.uuid4().hex}")
-        self._count = 0
 
     def store(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write the frame and return it as read from storage."""
-        self._count += 1
-        path = join_path(self._root, f"part{self._count:03d}")
+        path = join_path(self._root, uuid.uuid4().hex)
         df.write.partitionBy(*partition_by).parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 

@@ -109,17 +109,17 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], scratch: Scratch,
            partition_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
     """Update matched rows and insert the others; returns the written source rows.
 
-    The source is stored once in the scratch area and read from there by every following step. A
-    partitioned table is rewritten only in the partitions the source touches, which is exact as
+    The source is stored once - in the table itself when that is new, else in the scratch area -
+    and read from there by every following step. A partitioned table is rewritten only in the partitions the source touches, which is exact as
     long as the partition columns are among the keys. Spark stages such a write and swaps the
     partitions in on commit, so the table may be read by the same job.
     """
     spark = df.sparkSession
-    source = scratch.store(df)
     target = read_table(spark, path, fmt)
     if target is None:
-        append(source, path, partition_by, fmt, rebalance=bool(partition_by))
-        return source
+        append(df, path, partition_by, fmt, rebalance=bool(partition_by))
+        return read_table(spark, path, fmt)
+    source = scratch.store(df)
     if fmt == "delta":
         _delta_merge(source, path, keys, update=True)
         return source
