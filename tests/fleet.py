@@ -7,6 +7,7 @@ from gaugeline.operators.ledger import MONTHS
 
 MACHINES = ("HVAC-01-01", "HVAC-01-02")
 DAYS = (dt.date(2025, 3, 1), dt.date(2025, 3, 2))
+NOW_MS = 1_743_465_600_000  # 2025-04-01T00:00:00Z
 SENSORS = {
     "compressor": {"suctionPressureKpa": "300", "dischargePressureKpa": "1200", "cop": "4.0",
                    "eer": "12.0", "powerConsumptionKw": "60.0", "vibrationMmS": "2.5",
@@ -84,3 +85,8 @@ def write_config(root):
         {"version": "1", "codes": {"288": {"label": "Hot", "component_type": "compressor",
                                            "severity": "CRITICAL"},
                                    "315": {"label": "Shaky", "description": "d"}}}))
+
+
+def table(spark, paths, layer, name):
+    from gaugeline.sources.tables import read_table
+    return read_table(spark, f"{paths[layer]}/{name}")

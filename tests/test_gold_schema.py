@@ -4,7 +4,7 @@ Deviations the model's own code makes are kept: dates are DATE, the energy facts
 duration_hours, every metric family has max_ columns, and dim_component describes the component.
 """
 
-from test_jobs import lake, table  # noqa: F401
+from fleet import table
 
 HEAD = {"daily": ["date", "location_id", "hvac_machine_id"],
         "hourly": ["date", "hour", "location_id", "hvac_machine_id"]}
@@ -60,7 +60,7 @@ COUNTS = ("total_readings", "critical_readings", "warning_readings", "critical_e
           "active_fault_count", "machines_count", "total_fault_events", "fault_code_key")
 
 
-def test_columns_and_types(spark, lake):  # noqa: F811
+def test_columns_and_types(spark, lake):
     for name, columns in TABLES.items():
         types = dict(table(spark, lake[0], "gold", name).dtypes)
         assert sorted(types) == sorted(columns), name
@@ -71,7 +71,7 @@ def test_columns_and_types(spark, lake):  # noqa: F811
                 assert dtype == "double", (name, column, dtype)
 
 
-def test_relations_between_tables(spark, lake):  # noqa: F811
+def test_relations_between_tables(spark, lake):
     health = table(spark, lake[0], "gold", "fact_component_health_daily").collect()
     assert all(0 <= r["health_score_pct"] <= 100 for r in health)
     alerts = table(spark, lake[0], "gold", "fact_machine_alerts_daily").collect()

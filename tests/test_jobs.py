@@ -2,37 +2,17 @@ import datetime as dt
 
 import fleet
 import pytest
+from fleet import table
 
 from gaugeline import COMPONENTS
 from gaugeline.plans import gold, ingest, ledger, silver
 from gaugeline.sources.tables import read_table
 from gaugeline.streaming.ingest import stream_raw_to_bronze
 
-NOW = int(dt.datetime(2025, 4, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
+NOW = fleet.NOW_MS
 D1, D2 = fleet.DAYS
 
 
-@pytest.fixture(scope="module")
-def lake(spark, tmp_path_factory):
-    """All layers, built in two runs of one day each and then rerun over both."""
-    root = tmp_path_factory.mktemp("lake")
-    fleet.write_config(root / "config")
-    paths = {k: str(root / k) for k in ("raw", "bronze", "staging", "silver", "gold", "config")}
-    counters = []
-    for day in fleet.DAYS:
-        fleet.write(root / "raw", {day: fleet.standard_day(day)})
-        ingest.raw_to_bronze(spark, paths["raw"], paths["bronze"], dates=[day])
-        ingest.bronze_to_staging(spark, paths["bronze"], paths["staging"], day, day)
-        counters.append(silver.staging_to_silver(spark, paths["staging"], paths["silver"], day, day,
-                                                 now_ms=NOW))
-        gold.silver_to_gold(spark, paths["silver"], paths["gold"], paths["config"], day, day)
-    return paths, counters
-
-
-def table(spark, paths, layer, name):
-    return read_table(spark, f"{paths[layer]}/{name}")
-
-
 def snapshot(spark, paths, layer, names):
     return {n: sorted(map(str, (r.asDict() for r in table(spark, paths, layer, n).collect())))
             for n in names}
