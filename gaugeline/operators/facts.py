@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import CRITICAL, WARNING, health_score
 from gaugeline.operators.partials import Part, build_parts, mean_of, merge_parts, part_name
-from gaugeline.operators.transitions import health_hours
+from gaugeline.operators.transitions import health_hours, reading_counts
 
 GRAIN_KEYS = {"daily": ("date",), "hourly": ("date", "hour")}
 _MACHINE = ("location_id", "hvac_machine_id")
@@ -45,21 +45,32 @@ def _keys(grain: str, entity: Sequence[str]) -> list[str]:
 def health_from_hours(hours: DataFrame, grain: str = "daily") -> DataFrame:
     """Fold the output of :func:`health_hours`; the event count exists at daily grain only."""
     keys = _keys(grain, _TYPED)
-    folded = hours.groupBy(*keys).agg(
-        F.sum("total_readings").alias("total_readings"),
-        F.sum("critical_readings").alias("critical_readings"),
-        F.sum("warning_readings").alias("warning_readings"),
-        F.sum("critical_event_count").alias("critical_event_count"),
-        F.max("max_code").alias("_code"))
-    columns = [*keys, "total_readings", "critical_readings", "warning_readings",
-               *(["critical_event_count"] if grain == "daily" else []),
-               F.coalesce(F.col("_code").try_cast("int"), F.lit(0)).alias("critical_reading_code"),
+    summed = ["total_readings", "critical_readings", "warning_readings",
+              *(["critical_event_count"] if grain == "daily" else [])]
+    return _scored(hours.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in summed],
+                                            F.max("max_code").alias("max_code")), keys)
+
+
+def _scored(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fault code and score beside the counts."""
+    measures = [c for c in counts.columns if c not in keys and c != "max_code"]
+    columns = [*keys, *measures,
+               F.coalesce(F.col("max_code").try_cast("int"), F.lit(0))
+               .alias("critical_reading_code"),
                health_score(F.col("total_readings"), F.col("critical_readings"),
                             F.col("warning_readings")).alias("health_score_pct")]
-    return folded.select(*columns)
+    return counts.select(*columns)
+
+
+def component_states(df: DataFrame, grain: str = "daily") -> DataFrame:
+    """Component health without the event count: one aggregation, no ordering of readings."""
+    keys = _keys(grain, _TYPED)
+    return _scored(df.groupBy(*keys).agg(*reading_counts()), keys)
 
 
 def component_health(df: DataFrame, grain: str = "daily") -> DataFrame:
+    if grain == "hourly":
+        return component_states(df, grain)
     return health_from_hours(health_hours(df), grain)
 
 

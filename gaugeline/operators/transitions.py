@@ -1,15 +1,19 @@
 """Fault onsets: a reading is a new event when it is faulty and the one before it was not.
 
 Order is only needed inside a component, but a single component may hold a large share of all
-readings, so no window spans a whole component. Readings are first combined per instant on the
-map side; instants are compared inside time buckets; and what a bucket needs to know of the past -
-the state its predecessor ended in - is carried over a table with one row per component and
-bucket. Readings of a component at the same instant are ordered healthy before faulty.
+readings, so no window spans a whole component. Readings are looked at in time buckets, and what a
+bucket needs to know of the past - the state its predecessor ended in - is carried over a table with
+one row per component and bucket.
+
+Most buckets need no ordering at all: when the faulty readings of a bucket all lie before or all lie
+after the others, first and last instants of both kinds tell the onsets, and those are plain
+aggregates. Only readings of mixed buckets are put in order, after readings of the same instant have
+been combined on the map side. Within an instant, healthy comes before faulty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.functions import CRITICAL, MS_PER_HOUR, WARNING, is_faulty, time_bucket
@@ -35,35 +39,86 @@ def _onsets(points: DataFrame, key: str, instant: str, tie_keys: tuple[str, ...]
     })
 
 
-def health_hours(df: DataFrame, bucket_ms: int = MS_PER_HOUR) -> DataFrame:
-    """Reading counts, highest fault code and fault onsets per component and hour.
+def reading_counts() -> list[Column]:
+    """Readings, critical and warning ones, and the highest fault code."""
+    code = F.col("health_active_fault_code").cast("double")
+    return [F.count("timestamp").alias("total_readings"),
+            F.count_if(F.col("health_status") == CRITICAL).alias("critical_readings"),
+            F.count_if(F.col("health_status") == WARNING).alias("warning_readings"),
+            F.max(F.when(~F.isnan(code), code)).alias("max_code")]
+
+
+_COUNTED = ("total_readings", "critical_readings", "warning_readings", "max_code")
 
-    Daily figures are sums over these rows, hourly ones are the rows themselves.
+
+def health_spans(df: DataFrame, bucket_ms: int = MS_PER_HOUR) -> DataFrame:
+    """Reading counts per component and bucket, and whether its onsets are clear without ordering.
+
+    Where ``_clear`` holds, ``_onset``, ``_open`` and ``_closing`` are final.
     """
-    faulty = is_faulty(F.col("health_status")).cast("int")
-    code = F.col("health_active_fault_code").cast("double")
-    points = df.groupBy("component_id", "timestamp", *_OWNER).agg(
-        F.count("timestamp").alias("total_readings"),
-        F.count_if(F.col("health_status") == CRITICAL).alias("critical_readings"),
-        F.count_if(F.col("health_status") == WARNING).alias("warning_readings"),
-        F.max(F.when(~F.isnan(code), code)).alias("max_code"),
-        F.max(faulty).alias("_some"), F.min(faulty).alias("_every"))
-    hours = (_onsets(points, "component_id", "timestamp", _OWNER[2:], bucket_ms)
+    ts, faulty = F.col("timestamp"), is_faulty(F.col("health_status"))
+    spans = (df.withColumn("_bucket", time_bucket(ts, bucket_ms))
              .groupBy("component_id", "_bucket", *_OWNER).agg(
-                 F.sum("total_readings").alias("total_readings"),
-                 F.sum("critical_readings").alias("critical_readings"),
-                 F.sum("warning_readings").alias("warning_readings"),
-                 F.max("max_code").alias("max_code"),
-                 F.sum("_onset").alias("_onset"), F.max("_open").alias("_open"),
-                 F.max("_closing").alias("_closing")))
+                 *reading_counts(),
+                 F.min(F.when(faulty, ts)).alias("_bad_from"),
+                 F.max(F.when(faulty, ts)).alias("_bad_to"),
+                 F.min(F.when(~faulty, ts)).alias("_good_from"),
+                 F.max(F.when(~faulty, ts)).alias("_good_to")))
+    bad_from, bad_to = F.col("_bad_from"), F.col("_bad_to")
+    good_from, good_to = F.col("_good_from"), F.col("_good_to")
+    # A component that changes its owner within a bucket is left to ordering.
+    owners = F.count(F.lit(1)).over(Window.partitionBy("component_id", "_bucket"))
+    apart = (bad_from.isNull() | good_from.isNull() | (good_to < bad_from) | (bad_to < good_from))
+    return spans.select(
+        "component_id", "_bucket", *_OWNER, *_COUNTED,
+        ((owners == 1) & apart & F.col("_bucket").isNotNull()).alias("_clear"),
+        F.coalesce((good_to < bad_from).cast("bigint"), F.lit(0)).alias("_onset"),
+        (bad_from.isNotNull() & (good_from.isNull() | (bad_to < good_from))).cast("int")
+        .alias("_open"),
+        (bad_from.isNotNull() & (good_to.isNull() | (bad_to > good_to))).cast("int")
+        .alias("_closing"))
+
+
+def mixed_buckets(spans: DataFrame) -> DataFrame:
+    """Buckets whose readings have to be put in order."""
+    return (spans.filter(~F.col("_clear"))
+            .select(F.col("component_id").alias("_of"), F.col("_bucket").alias("_at")).distinct())
+
+
+def _ordered_hours(df: DataFrame, mixed: DataFrame, bucket_ms: int) -> DataFrame:
+    """The figures of mixed buckets, from their readings in order."""
+    faulty = is_faulty(F.col("health_status")).cast("int")
+    bucket = time_bucket(F.col("timestamp"), bucket_ms)
+    readings = df.join(mixed, F.col("component_id").eqNullSafe(F.col("_of"))
+                       & bucket.eqNullSafe(F.col("_at")), "left_semi")
+    points = readings.groupBy("component_id", "timestamp", *_OWNER).agg(
+        *reading_counts(), F.max(faulty).alias("_some"), F.min(faulty).alias("_every"))
+    return (_onsets(points, "component_id", "timestamp", _OWNER[2:], bucket_ms)
+            .groupBy("component_id", "_bucket", *_OWNER).agg(
+                *[F.sum(c).alias(c) for c in _COUNTED[:3]], F.max("max_code").alias("max_code"),
+                F.sum("_onset").alias("_onset"), F.max("_open").alias("_open"),
+                F.max("_closing").alias("_closing")))
+
+
+def health_hours(df: DataFrame, bucket_ms: int = MS_PER_HOUR, spans: DataFrame | None = None,
+                 mixed: DataFrame | None = None) -> DataFrame:
+    """Reading counts, highest fault code and fault onsets per component and hour.
+
+    Daily figures are sums over these rows, hourly ones are the rows themselves. ``spans`` and
+    ``mixed`` may carry the results of :func:`health_spans` and :func:`mixed_buckets` read back
+    from storage; a small list of mixed buckets is then broadcast and readings are not shuffled.
+    """
+    spans = health_spans(df, bucket_ms) if spans is None else spans
+    mixed = mixed_buckets(spans) if mixed is None else mixed
+    hours = spans.filter("_clear").drop("_clear").unionByName(
+        _ordered_hours(df, mixed, bucket_ms))
     # Exactly one row of a bucket carries its closing state; look at all earlier buckets.
     earlier = (Window.partitionBy("component_id").orderBy("_bucket")
                .rangeBetween(Window.unboundedPreceding, -1))
     carried = F.coalesce(F.last("_closing", ignorenulls=True).over(earlier), F.lit(0))
     events = F.col("_onset") + F.when(carried == 0, F.col("_open")).otherwise(0)
     return hours.withColumn("critical_event_count", events.cast("bigint")).select(
-        *_OWNER, "component_id", "total_readings", "critical_readings", "warning_readings",
-        "max_code", "critical_event_count")
+        *_OWNER, "component_id", *_COUNTED, "critical_event_count")
 
 
 def with_new_event(df: DataFrame, key: str = "component_id", order: str = "timestamp",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugeline import COMPONENTS
 from gaugeline.operators import dimensions, facts, kpis
 from gaugeline.operators.reshape import between_dates, prepare_telemetry, union_components
-from gaugeline.operators.transitions import health_hours
+from gaugeline.operators.transitions import health_hours, health_spans, mixed_buckets
 from gaugeline.plans.concurrent import run_all
 from gaugeline.sources.reference_data import read_fault_codes, read_topology
 from gaugeline.sources.scratch import Scratch
@@ -86,9 +86,15 @@ def silver_to_gold(spark: SparkSession, input_dir: str, output_dir: str, config_
             return list(gold.written)
 
         states = union_components({c: df.select(*_STATE_COLUMNS) for c, df in silver.items()})
+
+        def store_hours() -> DataFrame:
+            spans = scratch.store(health_spans(states))
+            mixed = scratch.store(mixed_buckets(spans))
+            return scratch.store(health_hours(states, spans=spans, mixed=mixed))
+
         stored = run_all({
             **{c: partial(scratch.store, facts.component_parts(df, c)) for c, df in silver.items()},
-            "hours": partial(scratch.store, health_hours(states)),
+            "hours": store_hours,
             "alerts": partial(scratch.store, facts.alert_parts(states))})
         hours, alert_parts = stored.pop("hours"), stored.pop("alerts")
         parts, compressor = stored, stored.get("compressor")

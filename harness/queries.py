@@ -409,8 +409,7 @@ _KPI = TELEMETRY + f""", {_MACHINES}, bands AS ({_BANDS}), online AS ({_ONLINE})
 
 
 def _machines(spark, sf_dir) -> DataFrame:
-    return kpis.machine_health(facts.health_from_hours(
-        transitions.health_hours(tm.telemetry(spark, sf_dir)), "daily"))
+    return kpis.machine_health(facts.component_states(tm.telemetry(spark, sf_dir)))
 
 
 @query(_KPI + f"SELECT {_ONE_DATE} FROM online")
@@ -715,7 +714,7 @@ def ledger_run_recorded(spark, sf_dir):
 # Fleet registry ------------------------------------------------------------------------------
 
 def _registry(spark, sf_dir) -> DataFrame:
-    """Every tenth part had its first compressor replaced; half of the swaps are in force."""
+    """Small machines had their first compressor replaced; some swaps are not yet in force."""
     topology = _topology(spark, sf_dir)
     swaps = tm.load(spark, sf_dir, "part").filter("p_size <= 10").select(
         F.expr("concat('HVAC-', p_partkey % 10, '-', p_partkey)").alias("hvac_machine_id"),

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeline.operators import facts, transitions
 from gaugeline.operators.reshape import with_component_hour, with_event_date
@@ -93,14 +94,52 @@ def test_random_with_ties_and_one_dominant_component(spark, seed):
     check(spark, rows)
 
 
-def test_no_window_spans_a_whole_component(spark):
+def test_only_mixed_hours_are_put_in_order(spark):
+    """Steady hours and single changes of state are settled by aggregates."""
+    steady = [("a", i, "Critical") for i in range(5)] + [("b", i, "Healthy") for i in range(5)]
+    change = [("c", i, "Healthy" if i < 3 else "Warning") for i in range(6)]
+    recover = [("d", i, "Critical" if i < 3 else "Healthy") for i in range(6)]
+    mixed = [("e", 1, "Healthy"), ("e", 2, "Critical"), ("e", 3, "Healthy")]
+    same_instant = [("f", 1, "Healthy"), ("f", 2, "Healthy"), ("f", 2, "Critical")]
+    rows = steady + change + recover + mixed + same_instant
+    spans = transitions.health_spans(telemetry(spark, rows))
+    assert sorted(r["_of"] for r in transitions.mixed_buckets(spans).collect()) == ["e", "f"]
+    check(spark, rows)
+    # The state carried into the next hour comes from either kind of hour.
+    check(spark, rows + [(c, HOUR + i, "Critical") for c in "abcdef" for i in range(2)])
+
+
+def test_component_that_changes_machine_within_an_hour(spark):
+    rows = [("c", i, "Healthy" if i % 4 == 0 else "Critical") for i in range(20)]
+    df = telemetry(spark, rows).withColumn(
+        "hvac_machine_id", F.when(F.col("timestamp") < 9, "m1").otherwise("m2"))
+    got = {r["hvac_machine_id"]: r["critical_event_count"]
+           for r in facts.component_health(df).collect()}
+    assert got == {"m1": 2, "m2": 3}
+
+
+def test_stored_mixed_hours_keep_readings_in_place(spark, scratch, tmp_path):
+    path = str(tmp_path / "readings")
+    rows = [("c", i * 300_000, "Healthy" if i % 5 else "Critical") for i in range(50)]
+    telemetry(spark, rows).write.parquet(path)
+    df = spark.read.parquet(path)
+    spans = scratch.store(transitions.health_spans(df))
+    stored = scratch.store(transitions.mixed_buckets(spans))
+    hours = transitions.health_hours(df, spans=spans, mixed=stored)
+    plan = hours._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(map(str, hours.collect())) == sorted(map(str, transitions.health_hours(df).collect()))
+
+
+def test_no_window_spans_the_readings_of_a_component(spark):
     plan = transitions.health_hours(telemetry(spark, [("c", 1, "Healthy")]))
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in text.splitlines() if "Window [" in line]
-    assert windows and any("_bucket" in w for w in windows)
-    # The window over a bare component sits above the hourly aggregation, not on readings.
-    bare = next(i for i, line in enumerate(text.splitlines()) if "last(_closing" in line)
-    assert "Aggregate [component_id" in "".join(text.splitlines()[bare + 1:bare + 3])
+    lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    windows = [line.split("Window ", 1)[1] for line in lines if "Window [" in line]
+    over_component = [w for w in windows if "last(_closing" in w]
+    assert len(over_component) == 1 and len(windows) > 1
+    assert all("_bucket" in w for w in windows)
+    below = next(i for i, line in enumerate(lines) if "last(_closing" in line)
+    assert "Union" in lines[below + 1]  # of two frames with one row per component and hour
 
 
 def test_fault_codes(spark):
