@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import packing, secret_scan, token_counts, url_filter
+from gaugeline.llm import (decontamination, language_id, packing, secret_scan, token_counts,
+                           url_filter)
 from gaugeline.llm.common import table, workers_import_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,12 +41,34 @@ def op2_secret_scan(spark, sf_dir):
                         secret_scan.joined(F.col("all_found")).alias("spans"))
 
 
+@query
+def op3_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = language_id.train(docs.where(~held_out))
+    return (language_id.predict(docs, model)
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
+
+
 @query
 def op5_token_counts(spark, sf_dir):
     return token_counts.with_token_counts(table(spark, sf_dir, "documents"),
                                           public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_decontamination(spark, sf_dir):
+    found = decontamination.find_passages(table(spark, sf_dir, "documents"),
+                                          table(spark, sf_dir, "benchmark"))
+    n_hit = decontamination.hit_words(F.col("hits"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"),
+                        F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+                        (n_hit > 0).alias("contaminated"),
+                        F.size("near_items").cast("long").alias("n_near_items"))
+
+
 @query
 def op8_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"),
