@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import (decontamination, language_id, packing, secret_scan, token_counts,
-                           url_filter)
+from gaugeline.llm import (decontamination, language_id, minhash, packing, secret_scan,
+                           token_counts, url_filter)
 from gaugeline.llm.common import table, workers_import_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op3_language_id(spark, sf_dir):
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
 
 
+@query
+def op4_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 @query
 def op5_token_counts(spark, sf_dir):
     return token_counts.with_token_counts(table(spark, sf_dir, "documents"),
