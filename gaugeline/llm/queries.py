@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import (decontamination, language_id, minhash, packing, secret_scan,
-                           token_counts, url_filter)
+from gaugeline.llm import (decontamination, embedding_dedup, language_id, minhash, packing,
+                           secret_scan, token_counts, url_filter)
 from gaugeline.llm.common import table, workers_import_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,11 @@ def op8_packing(spark, sf_dir):
                          F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op9_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
