@@ -6,6 +6,8 @@ import posixpath
 import uuid
 from pathlib import Path
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,3 +68,42 @@ def hash_sample(df: DataFrame, key: Column, size: int) -> DataFrame:
     if bound is None:
         return hashed.limit(0)
     return hashed.where(F.col("_sample_hash") <= bound).dropDuplicates(["_sample_hash"])
+
+
+class HashFilter:
+    """Bitmap over a column ``hash`` (long): tells most values that are not in it, never errs on one
+    that is.
+
+    At most ``1 << most_bits`` bits whatever the number of values, so it may travel to every task; a
+    fuller map only lets more values through to what looks at them exactly.
+    """
+
+    def __init__(self, hashes: DataFrame, bits_each: int = 32, most_bits: int = 27):
+        n = hashes.count()
+        self.shift = 64 - min(most_bits, max(10, (bits_each * n).bit_length()))
+        bit = F.pmod(F.shiftrightunsigned("hash", self.shift), F.lit(64)).cast("int")
+        words = (hashes.select(F.shiftrightunsigned("hash", self.shift + 6).alias("word"),
+                               F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+                               .alias("bit"))
+                 .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
+        self.bits = np.zeros(1 << (64 - self.shift - 6), np.uint64)
+        at, bits = (words[c].to_numpy().astype(np.int64) for c in ("word", "bits"))
+        self.bits[at] = bits.view(np.uint64)
+
+    def maybe(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes.view(np.uint64) >> np.uint64(self.shift)
+        return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)) > 0
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, worked out when first asked for; a bounded number is remembered."""
+
+    def __init__(self, remembered: int = 400_000):
+        super().__init__()
+        self.remembered = remembered
+
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < self.remembered:
+            self[word] = value
+        return value

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (decontamination, embedding_dedup, language_id, minhash, packing,
-                           secret_scan, token_counts, url_filter)
+                           quality, secret_scan, substring_dedup, token_counts, url_filter)
 from gaugeline.llm.common import table, workers_import_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    found = substring_dedup.remove_repeated(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed",
+                        F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op2_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +68,12 @@ def op5_token_counts(spark, sf_dir):
                                           public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op6_quality(spark, sf_dir):
+    return quality.importance_resample(table(spark, sf_dir, "documents"),
+                                       table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_decontamination(spark, sf_dir):
     found = decontamination.find_passages(table(spark, sf_dir, "documents"),
