@@ -1,8 +1,8 @@
 """Near-duplicates by MinHash: universal hash minima, bands, verification, components.
 
 Documents with equal shingle sets are one class from the start, so copies are never compared. Of
-each bucket of a band only links to its first class are tried at first, one per class: the one
-shared in most bands. Once components are known, buckets that hold more than one component are
+each bucket of a band only links to its most central class are tried at first, the one that meets
+most others in all its buckets, and one link per class: that shared in most bands. Once components are known, buckets that hold more than one component are
 looked at again, across components only; what remains are classes that are truly different there.
 Every link is confirmed on full shingle sets.
 """
@@ -22,27 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import DoubleType
 
-from gaugeline.llm.common import store
+from gaugeline.llm.common import HashFilter, WordHashes, store
 from gaugeline.llm.components import connected_components
 
 #: Lower-cases A-Z, leaves every other byte.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-REMEMBERED = 400_000
 SKETCH = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("key", pa.binary()),
                     ("signature", pa.binary()), ("buckets", pa.list_(pa.int64()))])
 SET = pa.schema([("id", pa.int64()), ("key", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, worked out when first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < REMEMBERED:
-            self[word] = value
-        return value
-
-
 HASHES = WordHashes()
 
 
@@ -117,29 +106,7 @@ def sketch_task(batches, words: int, bands: Bands) -> Iterator[pa.RecordBatch]:
                 schema=SKETCH)
 
 
-class IdFilter:
-    """Bitmap over hashed ids: tells most ids that are not in a set, never errs on one that is.
-
-    Of bounded size, however many ids; a fuller map only lets more rows through to the join.
-    """
-
-    def __init__(self, ids: DataFrame, most_bits: int = 26):
-        n = ids.count()
-        self.shift = 64 - min(most_bits, max(10, (16 * n).bit_length()))
-        word = F.shiftrightunsigned(F.xxhash64("id"), self.shift + 6)
-        bit = F.pmod(F.shiftrightunsigned(F.xxhash64("id"), self.shift), F.lit(64))
-        words = (ids.select(word.alias("word"), F.call_function(
-            "shiftleft", F.lit(1).cast("long"), bit.cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")))
-        self.bits = np.zeros(1 << (64 - self.shift - 6), np.uint64)
-        found = words.toPandas()
-        self.bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-
-    def maybe(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes.view(np.uint64) >> np.uint64(self.shift)
-        return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)) > 0
-
-
-def set_task(batches, words: int, ids: IdFilter) -> Iterator[pa.RecordBatch]:
+def set_task(batches, words: int, ids: HashFilter) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         chosen = np.flatnonzero(ids.maybe(batch["hash"].to_numpy(zero_copy_only=False)))
         for k in range(0, len(chosen), 500):
@@ -210,11 +177,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
                                        ("size", "signature", "buckets")]), "classes")
     # One id can name several sets; its sets are one node, and each is compared.
     entries = classes.select("id", F.explode("buckets").alias("bucket"))
-    leads = (entries.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
-             .where("lead <> last").select("bucket", "lead"))
-    shared = store(entries.join(leads, "bucket").select("bucket", "id", "lead"), "shared")
+    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    met = store(entries.join(sizes, "bucket"), "met")
+    # An original meets more classes than its edited copies do.
+    central = met.groupBy("id").agg(F.sum("n").alias("meets"))
+    leads = met.join(central, "id").groupBy("bucket").agg(
+        F.max_by("id", F.struct("meets", -F.col("id"))).alias("lead"))
+    shared = store(met.select("bucket", "id").join(leads, "bucket"), "shared")
     ids = shared.select("id").distinct()
-    maybe = docs.sparkSession.sparkContext.broadcast(IdFilter(ids))
+    maybe = docs.sparkSession.sparkContext.broadcast(HashFilter(
+        ids.select(F.xxhash64("id").alias("hash"))))
     found = texts.withColumn("hash", F.xxhash64("doc_id")).mapInArrow(
         lambda batches: set_task(batches, words, maybe.value), from_arrow_schema(SET))
     wanted = classes.join(ids, "id", "left_semi").select("id", "key")
