@@ -37,8 +37,8 @@ SHARD_WORDS = 60_000
 GATHERED = 64 << 20
 HASHES = WordHashes()
 ANCHORS = pa.schema([("hash", pa.int64()), ("times", pa.int64())])
-#: For a shard: a run of windows under its anchor, without a place if it stands for several that
-#: are settled. Without a shard: a settled span.
+#: A run of windows for the shard of its anchor, without a place if it stands for several that are
+#: settled; or, without words, a settled span, sent along under its document's hash.
 RUNS = pa.schema([("shard", pa.int64()), ("words", pa.binary()), ("h1", pa.int64()),
                   ("h2", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 SPANS = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("start", pa.int32()),
@@ -153,7 +153,7 @@ def gathered(places: dict[tuple[int, bytes], list]) -> pa.RecordBatch:
         rows.append((shard, content, None, None, None, None))
         for h1, h2, start, end in found:
             settled.setdefault((h1, h2), []).append((start, end))
-    rows += [(None, None, *doc, *span) for doc, spans in settled.items() for span in united(spans)]
+    rows += [(doc[0], None, *doc, *span) for doc, spans in settled.items() for span in united(spans)]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, f.type) for c, f in zip(zip(*rows), RUNS)], schema=RUNS)
 
@@ -270,19 +270,24 @@ def shard_spans(groups: list[dict[bytes, list]], window: int) -> Iterator[tuple]
 def shard_task(batches, window: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by shard; automata are built for as many whole anchors as ``SHARD_WORDS``."""
     groups: list[dict[bytes, list]] = []
+    passed: list[tuple] = []
     current, words = None, 0
 
-    def settled() -> pa.RecordBatch:
-        rows = list(shard_spans(groups, window))
+    def found() -> pa.RecordBatch:
+        rows = passed + list(shard_spans(groups, window))
+        passed.clear()
         return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * 4, SPANS)],
             schema=SPANS)
 
     for batch in batches:
-        for shard, content, h1, h2, start, _ in zip(*(c.to_pylist() for c in batch.columns)):
+        for shard, content, *place in zip(*(c.to_pylist() for c in batch.columns)):
+            if content is None:
+                passed.append(tuple(place))
+                continue
             if shard != current:
                 if words >= SHARD_WORDS:
-                    yield settled()
+                    yield found()
                     groups, words = [], 0
                 groups.append({})
                 current = shard
@@ -290,11 +295,12 @@ def shard_task(batches, window: int) -> Iterator[pa.RecordBatch]:
             if entry is None:
                 entry = groups[-1][content] = [[], 0]
                 words += len(content) // 8
+            h1, h2, start, _ = place
             entry[1] += 2 if start is None else 1
             if start is not None:
                 entry[0].append((h1, h2, start))
-    if groups:
-        yield settled()
+    if groups or passed:
+        yield found()
 
 
 def keep_task(batches) -> Iterator[pa.RecordBatch]:
@@ -339,13 +345,10 @@ def remove_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
         .groupBy("hash").agg(F.sum("times").alias("times")).where("times > 1"), "anchors")
     filters = context.broadcast((HashFilter(counted.select("hash")), HashFilter(
         counted.where(F.col("times") > HOT).select("hash"))))
-    runs = store(texts.select("text", "h1", "h2").mapInArrow(
-        lambda batches: run_task(batches, window, *filters.value), from_arrow_schema(RUNS)),
-        "runs")
-    sharded = (runs.where("shard is not null").repartition("shard").sortWithinPartitions("shard")
-               .mapInArrow(lambda batches: shard_task(batches, window), from_arrow_schema(SPANS)))
-    settled = runs.where("shard is null").select("h1", "h2", "start", "end")
-    spans = (sharded.unionByName(settled).groupBy("h1", "h2")
-             .agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    runs = texts.select("text", "h1", "h2").mapInArrow(
+        lambda batches: run_task(batches, window, *filters.value), from_arrow_schema(RUNS))
+    spans = (runs.repartition("shard").sortWithinPartitions("shard")
+             .mapInArrow(lambda batches: shard_task(batches, window), from_arrow_schema(SPANS))
+             .groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     return (texts.join(spans, ["h1", "h2"], "left").select("doc_id", "text", "spans")
             .mapInArrow(keep_task, from_arrow_schema(KEPT)))
