@@ -3,8 +3,9 @@
 Documents with equal shingle sets are one class from the start, so copies are never compared. Of
 each bucket of a band only links to its most central class are tried at first, the one that meets
 most others in all its buckets, and one link per class: that shared in most bands. Once components are known, buckets that hold more than one component are
-looked at again, across components only; what remains are classes that are truly different there.
-Every link is confirmed on full shingle sets.
+looked at again, across components only. A component of many classes is compared with the outsiders
+it shares buckets with in blocks of bounded size, which give links, not pairs. Every link is
+confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from gaugeline.llm.components import connected_components
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SKETCH = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("key", pa.binary()),
                     ("signature", pa.binary()), ("buckets", pa.list_(pa.int64()))])
+LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 SET = pa.schema([("id", pa.int64()), ("key", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
 
@@ -156,8 +158,62 @@ class Verifier:
                 .where(100 * shared >= self.percent * union).select("a", "b").distinct())
 
 
+def block_links(group: pa.Table, percent: int) -> pa.Table:
+    """Links between a block of a component's members and a block of outsiders."""
+    own = group["own"].to_numpy(zero_copy_only=False)
+    ids = group["id"].to_numpy()
+    sets = [np.asarray(s.as_py(), np.int64) for s in group["shingles"]]
+    inside = [k for k in np.flatnonzero(own)]
+    if not inside or own.all():
+        return LINK.empty_table()
+    sizes = np.array([len(sets[k]) for k in inside])
+    flat = np.concatenate([sets[k] for k in inside])
+    starts = np.cumsum(sizes) - sizes
+    found: list[tuple] = []
+    for k in np.flatnonzero(~own):
+        other = np.sort(sets[k])
+        at = np.minimum(np.searchsorted(other, flat), len(other) - 1)
+        shared = np.add.reduceat((other[at] == flat).astype(np.int64), starts)
+        for m in np.flatnonzero(100 * shared >= percent * (sizes + len(other) - shared)):
+            found.append((ids[inside[m]], ids[k]))
+    return pa.table([pa.array(c, pa.int64()) for c in (zip(*found) if found else ((), ()))],
+                    schema=LINK)
+
+
+def large_component_links(open_: DataFrame, sets: DataFrame, percent: int,
+                          block: int) -> DataFrame:
+    """Links between components of over ``block`` classes and what else is in their open buckets.
+
+    Of two large components the one with the smaller number is the outsider's host. Members and
+    outsiders go to tasks in blocks of ``block`` and 8 * ``block`` on average.
+    """
+    large = open_.where(F.col("members") > block)
+    hosts = large.select("bucket", F.col("component").alias("host")).distinct()
+    outside = (open_.join(hosts, "bucket")
+               .where((F.col("component") != F.col("host"))
+                      & ((F.col("members") <= block) | (F.col("component") > F.col("host"))))
+               .select("host", "id").distinct())
+    inside = large.select(F.col("component").alias("host"), "id").distinct()
+
+    def blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
+        return rows.groupBy("host").agg(F.ceil(F.count("*") / size).alias(name))
+
+    counts = blocks(inside, "rows", block).join(blocks(outside, "others", 8 * block), "host")
+
+    def dealt(rows: DataFrame, own: str, facing: str, is_own: bool) -> DataFrame:
+        return (rows.join(counts, "host")
+                .withColumns({own: F.pmod(F.xxhash64("id"), F.col(own)),
+                              facing: F.explode(F.sequence(F.lit(0).cast("long"), F.col(facing) - 1))})
+                .select("host", "rows", "others", "id", F.lit(is_own).alias("own")))
+
+    both = dealt(inside, "rows", "others", True).unionByName(
+        dealt(outside, "others", "rows", False))
+    return (both.join(sets, "id").groupBy("host", "rows", "others")
+            .applyInArrow(lambda group: block_links(group, percent), from_arrow_schema(LINK)))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
-                    bands: Bands = Bands()) -> DataFrame:
+                    bands: Bands = Bands(), block: int = 128) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Documents with 100 * |A & B| >= percent * |A | B| are linked, A and B their sets of distinct
@@ -207,15 +263,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     mixed = (placed.groupBy("bucket").agg(F.min("component").alias("low"),
                                           F.max("component").alias("high"))
              .where("low <> high").select("bucket"))
-    open_ = store(placed.join(mixed, "bucket"), "open")
-    right = open_.select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
-    across = store(open_.withColumnRenamed("id", "a").join(right, "bucket")
+    members = placed.groupBy("component").agg(F.count_distinct("id").alias("members"))
+    open_ = store(placed.join(mixed, "bucket").join(members, "component"), "open")
+    few = open_.where(F.col("members") <= block)
+    right = few.select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
+    across = store(few.select("bucket", F.col("id").alias("a"), "component").join(right, "bucket")
                    .where((F.col("component") < F.col("other")) & (F.col("a") != F.col("b")))
                    .select("a", "b").distinct(), "across")
+    late = verify.links(across).unionByName(
+        large_component_links(open_, sets, percent, block))
     copies = (linkable.join(classes.select("key", F.col("id").alias("b")), "key")
               .select(F.col("doc_id").alias("a"), "b").where("a <> b"))
     nodes = connected_components(
-        first.unionByName(verify.links(across)).unionByName(copies), "components")
+        first.unionByName(late).unionByName(copies), "components")
     component = F.coalesce("component", "doc_id")
     return (sketches.select("doc_id", F.col("size").alias("n_shingles"))
             .join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left")
