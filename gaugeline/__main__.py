@@ -15,8 +15,10 @@ def _date(text: str) -> dt.date:
 
 
 def _days(start: dt.date | None, end: dt.date | None) -> list[dt.date] | None:
-    """The raw folders to read: all, unless both ends of a range are given."""
-    if start is None or end is None:
+    """The raw folders to read: all, or those of a range. One bound alone names no folders."""
+    if (start is None) != (end is None):
+        raise SystemExit("bronze takes both --start-date and --end-date, or neither")
+    if start is None:
         return None
     return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
 
@@ -31,6 +33,9 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--format", default="parquet")
         job.add_argument("--start-date", type=_date)
         job.add_argument("--end-date", type=_date)
+        if name == "bronze":
+            job.add_argument("--infer", action="store_true",
+                             help="read the files twice and keep fields the schema does not know")
         if name != "gold":
             job.add_argument("--ids-fix-date", action="store_true",
                              help="an event id implies its date: merge within the dates at hand")
@@ -54,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "bronze":
         result = ingest.raw_to_bronze(spark, args.input_dir, args.output_dir,
                                       _days(args.start_date, args.end_date), fmt=args.format,
-                                      ids_fix_date=args.ids_fix_date)
+                                      ids_fix_date=args.ids_fix_date, infer=args.infer)
     elif args.job == "staging":
         result = ingest.bronze_to_staging(spark, args.input_dir, args.output_dir, args.start_date,
                                           args.end_date, args.format, args.ids_fix_date)

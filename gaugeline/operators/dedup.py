@@ -8,36 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys that occur more than once; NULL counts as a key.
-
-    Reads a single column; the count is combined on the map side, so a frequent key costs one
-    partial row per task.
-    """
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-            .select(F.col(key).alias("_repeated")))
-
-
 def flag_duplicates(df: DataFrame, key: str = "event_id", order: str = "timestamp",
-                    flag: str = "is_duplicate", repeated: DataFrame | None = None) -> DataFrame:
+                    flag: str = "is_duplicate") -> DataFrame:
     """Mark every row but the latest of its key. NULL keys count as one key.
 
-    Rows whose key occurs once - nearly all of them - are passed on without being ranked or
-    sorted. Only rows of repeated keys reach a window, and that in two steps: first per key
-    within each input partition, then the partition winners per key. No task ever holds more of
-    one key than an input partition does. Ties on ``order`` are settled by row content.
-
-    ``repeated`` may carry the result of :func:`repeated_keys` read back from storage; Spark then
-    knows its size and broadcasts it if, and only if, it is small enough.
+    One scan, two rankings. Rows are ranked first per key and input partition, the partition being
+    noted before any shuffle, then the winners of the partitions per key. A task holds no more of
+    one key than one input partition does in the first step, and one row for each input partition
+    in the second. Ties on ``order`` are settled by row content.
     """
-    if repeated is None:
-        repeated = repeated_keys(df, key)
     columns = df.columns
-    again = F.col(key).eqNullSafe(F.col("_repeated"))
-    single = df.join(repeated, again, "left_anti").withColumn(flag, F.lit(False))
-    contested = df.join(repeated, again, "left_semi")
-    ranked = contested.withColumns({"_part": F.spark_partition_id(),
-                                    "_tie": F.xxhash64(*columns)})
+    ranked = df.withColumns({"_part": F.spark_partition_id(), "_tie": F.xxhash64(*columns)})
     newest_first = (F.col(order).desc(), F.col("_tie"))
     local = Window.partitionBy(key, "_part").orderBy(*newest_first)
     ranked = ranked.withColumn("_local", F.row_number().over(local))
@@ -46,7 +27,7 @@ def flag_duplicates(df: DataFrame, key: str = "event_id", order: str = "timestam
     final = Window.partitionBy(key, "_slot").orderBy(*newest_first)
     ranked = ranked.withColumn(
         flag, (F.col("_local") > 1) | (F.row_number().over(final) > 1))
-    return single.unionByName(ranked.drop("_part", "_tie", "_local", "_slot"))
+    return ranked.drop("_part", "_tie", "_local", "_slot")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str],

@@ -60,9 +60,15 @@ def dim_date(telemetry: DataFrame) -> DataFrame:
 
 
 def with_fault_code_key(telemetry: DataFrame, fault_codes: DataFrame) -> DataFrame:
-    """Nullable foreign key into dim_fault_code. Codes the dictionary lacks stay NULL."""
-    keys = fault_codes.select(F.col("fault_code_key"),
+    """Nullable foreign key into dim_fault_code. Codes the dictionary lacks stay NULL.
+
+    Rows without a code, most of them, match nothing; they are spread by content where the join is
+    a shuffle, instead of meeting in one task.
+    """
+    keys = fault_codes.select(F.col("fault_code_key"), F.lit(-1).alias("_spread"),
                               F.col("fault_code_key").cast("double").alias("_code"))
-    code = F.col("health_active_fault_code").cast("double")
-    return (telemetry.join(keys, code == F.col("_code"), "left")
-            .select(*telemetry.columns, "fault_code_key"))
+    code = F.expr("try_cast(health_active_fault_code AS double)")
+    spread = F.when(code.isNull(), F.pmod(F.xxhash64(*telemetry.columns), F.lit(65_536)).cast("int"))
+    match = ((F.coalesce(code, F.lit(0.0)) == F.col("_code"))
+             & (F.coalesce(spread, F.lit(-1)) == F.col("_spread")))
+    return telemetry.join(keys, match, "left").select(*telemetry.columns, "fault_code_key")

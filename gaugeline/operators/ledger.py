@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Layout of raw paths and month folder names.
-RAW_PATH = r"location_[^/]*/([0-9]+/[A-Za-z]+/day[0-9]+)(?:/|$)"
-RAW_DAY = "yyyy/MMMM/'day'd"
+RAW_PATH = r"location_[^/]*/([0-9]{4})/([A-Za-z]+)/day([0-9]{1,2})(?:/|$)"
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
           "october", "november", "december")
 # End of fixed values.
@@ -17,8 +16,10 @@ MONTHS = ("january", "february", "march", "april", "may", "june", "july", "augus
 
 def discover_dates(paths: DataFrame, column: str = "path") -> DataFrame:
     """Distinct dates named by raw paths; other folders and impossible dates are skipped."""
-    day = F.try_to_timestamp(F.regexp_extract(column, RAW_PATH, 1), F.lit(RAW_DAY))
-    return paths.select(day.cast("date").alias("date")).filter("date IS NOT NULL").distinct()
+    year, name, day = (F.regexp_extract(column, RAW_PATH, k) for k in (1, 2, 3))
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(name))
+    date = F.concat_ws("-", year, month.cast("string"), day).try_cast("date")
+    return paths.select(date.alias("date")).filter("date IS NOT NULL").distinct()
 
 
 def reconcile(ledger: DataFrame | None, discovered: DataFrame) -> DataFrame:

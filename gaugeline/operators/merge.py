@@ -22,7 +22,9 @@ def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
     keys = list(keys)
     wanted = _known_keys(source.select(*keys), keys).distinct()
     held = target.select(*keys).join(wanted, keys, "left_semi")
-    return source.join(held, keys, "left_anti")
+    complete = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    return _known_keys(source, keys).join(held, keys, "left_anti").unionByName(
+        source.filter(f"NOT ({complete})"))
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

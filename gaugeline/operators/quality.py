@@ -56,8 +56,7 @@ def rule_conditions(columns: Iterable[str], rules: RuleSet, now_ms: int) -> list
     return found
 
 
-def apply_quality_rules(df: DataFrame, rules: RuleSet, now_ms: int | None = None,
-                        repeated: DataFrame | None = None) -> DataFrame:
+def apply_quality_rules(df: DataFrame, rules: RuleSet, now_ms: int | None = None) -> DataFrame:
     """Add ``is_valid`` and ``failure_reason`` (all failed rules in order, `` | `` between them).
 
     ``now_ms`` fixes the clock for the future-timestamp rule. All rules are one projection.
@@ -65,12 +64,12 @@ def apply_quality_rules(df: DataFrame, rules: RuleSet, now_ms: int | None = None
     if now_ms is None:
         now_ms = int(time.time() * 1000)
     columns = df.columns
-    marked = flag_duplicates(df, "event_id", "timestamp", DUPLICATE_FLAG, repeated)
+    marked = flag_duplicates(df, "event_id", "timestamp", DUPLICATE_FLAG)
     reasons = [f"CASE WHEN {condition} THEN '{reason}' END" for reason, condition
                in rule_conditions([*columns, DUPLICATE_FLAG], rules, now_ms)]
     reason = f"concat_ws('{SEPARATOR}', {', '.join(reasons)})"
-    return marked.select(*columns, F.expr(f"({reason}) = ''").alias("is_valid"),
-                         F.expr(reason).alias("failure_reason"))
+    return (marked.select(*columns, F.expr(reason).alias("failure_reason"))
+            .select(*columns, (F.col("failure_reason") == "").alias("is_valid"), "failure_reason"))
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -30,7 +30,18 @@ def flatten_record(df: DataFrame, record: str = "record", envelope_wins: bool =
         inner = [f for f in inner if f not in envelope]
     else:
         envelope = [c for c in envelope if c not in inner]
-    return df.select(*envelope, *[F.col(record)[f].alias(f) for f in inner])
+    return df.select(*envelope, *[typed(f, F.col(record)[f]).alias(f) for f in inner])
+
+
+def typed(name: str, value: Column) -> Column:
+    """Codes and flags that documents give as text or as numbers, in their type; NaN is no code."""
+    kind = schemas.RECORD_TYPED.get(name)
+    if kind is None:
+        return value
+    number = value.try_cast("double") if kind != "boolean" else value
+    if kind == "double":
+        return F.when(~F.isnan(number), number)
+    return number.try_cast(kind)
 
 
 def unwrap_payload(df: DataFrame, payload: str = "rawPayload") -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline import COMPONENTS
@@ -26,8 +27,8 @@ def flatten_documents(raw: DataFrame) -> DataFrame:
 
 def raw_to_bronze(spark: SparkSession, input_dir: str, output_dir: str,
                   dates: Iterable[dt.date] | None = None, schema: T.StructType | None = None,
-                  multi_line: bool = True, fmt: str = "parquet", ids_fix_date: bool = False
-                  ) -> list[str]:
+                  multi_line: bool = True, fmt: str = "parquet", ids_fix_date: bool = False,
+                  infer: bool = False) -> list[str]:
     """Write one bronze table per component type; returns the types that had data.
 
     The documents are parsed once, into a scratch table split by component type: JSON is the
@@ -35,11 +36,12 @@ def raw_to_bronze(spark: SparkSession, input_dir: str, output_dir: str,
     event id implies its date (ids made from device and time do); merges then read only the dates
     of the batch instead of the key column of the whole table.
     """
-    raw = read_raw(spark, input_dir, dates, multi_line, schema)
+    raw = read_raw(spark, input_dir, dates, multi_line, schema, infer)
     if raw is None:
         return []
     with Scratch(spark, "bronze") as scratch:
-        flat = scratch.store(flatten_documents(raw), partition_by=("componentType",))
+        known = flatten_documents(raw).filter(F.col("componentType").isin(*COMPONENTS))
+        flat = scratch.store(known, partition_by=("componentType",))
 
         def write(component: str, rows: DataFrame) -> bool:
             if rows.isEmpty():

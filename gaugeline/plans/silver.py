@@ -8,7 +8,6 @@ from functools import partial
 from pyspark.sql import Observation, SparkSession
 
 from gaugeline import COMPONENTS
-from gaugeline.operators.dedup import repeated_keys
 from gaugeline.operators.quality import (apply_quality_rules, gate_metrics, quarantine, split_valid)
 from gaugeline.operators.reshape import between_dates
 from gaugeline.operators.rules import RULES, RuleSet
@@ -41,8 +40,7 @@ def staging_to_silver(spark: SparkSession, input_dir: str, output_dir: str, star
             staged = between_dates(staged, start, end)
             if staged.isEmpty():
                 return None
-            repeated = scratch.store(repeated_keys(staged, "event_id"))
-            checked = apply_quality_rules(staged, rules.get(component, RuleSet()), now_ms, repeated)
+            checked = apply_quality_rules(staged, rules.get(component, RuleSet()), now_ms)
             seen = Observation(f"gate-{component}")
             _, invalid = split_valid(checked.observe(seen, *gate_metrics()))
             # Stored first: the merge below reads it twice, and the counters must not depend on it.

@@ -16,11 +16,20 @@ ENVELOPE_TEXT = (
     "locationCountry", "componentManufacturer", "componentModel", "componentSerialNumber",
     "componentInstallationDate", "batchStartTime", "batchEndTime",
 )
+#: What a single-reading document repeats inside its payload.
+PAYLOAD_TEXT = (
+    "batchId", "componentId", "componentType", "circuitId", "hvacMachineId", "companyId",
+    "companyName", "locationId", "locationName", "locationCity", "locationState",
+    "locationCountry", "componentManufacturer", "componentModel", "componentSerialNumber",
+    "componentInstallationDate", "eventTimestamp", "healthMaintenanceRequired",
+    "healthLastMaintenanceDate", "building", "floor", "zone", "latitude", "longitude",
+    "controllerId", "controllerName", "hvacMachineName", "componentName",
+)
 ENVELOPE_NUMBER = ("readingIntervalSeconds", "recordCount")
 
 RECORD_COMMON = (
     ("eventId", "string"), ("timestamp", "string"), ("circuitId", "string"), ("runHours", "string"),
-    ("healthActiveFaultCode", "double"), ("healthMaintenanceFlag", "boolean"),
+    ("healthActiveFaultCode", "string"), ("healthMaintenanceFlag", "string"),
     ("healthStatus", "string"), ("dataQuality", "string"),
 )
 RECORD_STATUS = {
@@ -57,7 +66,9 @@ RECORD_SENSORS = {
         "refrigerantFlowRateKgMin", "actuatorVoltageV", "actuatorCurrentA", "powerConsumptionW",
     ),
 }
-RECORD_INTEGERS = ("runStatus",)
+#: Come as text or as numbers; read as text and cast after the documents are taken apart.
+RECORD_TYPED = {"healthActiveFaultCode": "double", "healthMaintenanceFlag": "boolean",
+                "runStatus": "bigint"}
 # --- End of fixed values -------------------------------------------------------------------
 
 _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "boolean": T.BooleanType(),
@@ -74,7 +85,7 @@ def record_schema(extra: dict[str, T.DataType] | None = None) -> T.StructType:
     fields = dict(RECORD_COMMON)
     for component in RECORD_STATUS:
         for name in component_fields(component):
-            fields[name] = "bigint" if name in RECORD_INTEGERS else "string"
+            fields[name] = "string"
     struct = T.StructType([T.StructField(n, _TYPES[t]) for n, t in fields.items()])
     for name, dtype in (extra or {}).items():
         struct = struct.add(name, dtype)
@@ -98,10 +109,12 @@ def payload_schema(extra: dict[str, T.DataType] | None = None) -> T.StructType:
     """
     payload = record_schema(extra)
     present = set(payload.fieldNames())
-    for name in ENVELOPE_TEXT[6:22]:
+    for name in PAYLOAD_TEXT:
         if name not in present:
             payload = payload.add(name, T.StringType())
-    struct = T.StructType([T.StructField(n, T.StringType()) for n in ENVELOPE_TEXT[:6]])
+    outside = [n for n in ENVELOPE_TEXT if n not in PAYLOAD_TEXT
+               and n not in ("batchStartTime", "batchEndTime")]
+    struct = T.StructType([T.StructField(n, T.StringType()) for n in outside])
     return struct.add("rawPayload", payload)
 
 

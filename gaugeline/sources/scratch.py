@@ -6,7 +6,6 @@ and Spark knows the exact size of what it reads back, which is what its broadcas
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -16,21 +15,11 @@ from gaugeline.sources.storage import delete_tree, join_path
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only on a single machine."""
+    """The shared folder the cluster names."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
-    if not spark.sparkContext.master.startswith("local"):
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="gaugeline-")
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The frame with its lineage cut by a reliable checkpoint."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
-    return df.checkpoint()
+    return base
 
 
 class Scratch:

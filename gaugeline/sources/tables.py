@@ -31,6 +31,20 @@ def _recorded_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(text)) if text else None
 
 
+class TypeDriftError(ValueError):
+    """A column comes with another type than the table has."""
+
+
+def _check_types(spark: SparkSession, path: str, written: T.StructType) -> None:
+    """Raise before anything is written that the table could not be read back with."""
+    known = {f.name: f.dataType.simpleString() for f in _recorded_schema(spark, path) or ()}
+    drift = [f"{f.name}: {known[f.name]} in the table, {f.dataType.simpleString()} in the batch"
+             for f in written if known.get(f.name, f.dataType.simpleString())
+             != f.dataType.simpleString()]
+    if drift:
+        raise TypeDriftError("; ".join(drift))
+
+
 def _record_schema(spark: SparkSession, path: str, written: T.StructType) -> None:
     known = _recorded_schema(spark, path)
     merged = T.StructType([T.StructField(f.name, f.dataType, True) for f in (known or [])])
@@ -65,6 +79,8 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
            rebalance: bool = False) -> None:
     """Append as is. ``rebalance`` gathers rows by partition value before writing, splitting large
     partitions and packing small ones, so that file sizes stay even."""
+    if fmt != "delta":
+        _check_types(df.sparkSession, path, df.schema)
     out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if rebalance else df
     out.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
     if fmt != "delta":
@@ -95,7 +111,7 @@ def merge_insert(df: DataFrame, path: str, keys: Sequence[str],
     spark = df.sparkSession
     target = read_table(spark, path, fmt)
     if target is None:
-        append(df, path, partition_by, fmt, rebalance)
+        append(df, path, partition_by, fmt, rebalance or bool(partition_by))
     elif fmt == "delta":
         _delta_merge(df, path, keys, update=False)
     else:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeline import COMPONENTS
 from gaugeline.operators.reshape import route
 from gaugeline.plans.ingest import flatten_documents
 from gaugeline.schemas import raw_schema
@@ -25,24 +27,27 @@ def read_raw_stream(spark: SparkSession, input_dir: str, multi_line: bool = True
     return reader.json(join_path(input_dir, "location_*"))
 
 
-def _write_batch(batch: DataFrame, output_dir: str) -> None:
+def _write_batch(batch: DataFrame, output_dir: str, ids_fix_date: bool = False) -> None:
     """Merging on the event id makes a repeated micro-batch harmless."""
     with Scratch(batch.sparkSession, "stream") as scratch:
-        rows = scratch.store(batch, partition_by=("componentType",))
+        known = batch.filter(F.col("componentType").isin(*COMPONENTS))
+        rows = scratch.store(known, partition_by=("componentType",))
         for component, routed in route(rows).items():
             if not routed.isEmpty():
                 merge_insert(routed, join_path(output_dir, component), ["eventId"], ["date"],
-                             rebalance=True)
+                             key_fixes_partition=ids_fix_date, rebalance=True)
 
 
 def stream_raw_to_bronze(spark: SparkSession, input_dir: str, output_dir: str,
                          checkpoint_dir: str, multi_line: bool = True,
                          available_now: bool = True, interval: str = "1 minute",
-                         max_files: int | None = None) -> StreamingQuery:
-    """Start the stream. ``available_now`` processes what is there and ends."""
+                         max_files: int | None = None,
+                         ids_fix_date: bool = False) -> StreamingQuery:
+    """Start the stream. ``available_now`` processes what is there and ends; ``ids_fix_date`` as
+    in the batch job: merges then read only the dates of a micro-batch."""
     rows = flatten_documents(read_raw_stream(spark, input_dir, multi_line, max_files=max_files))
     writer = (rows.writeStream.option("checkpointLocation", checkpoint_dir)
-              .foreachBatch(lambda batch, _id: _write_batch(batch, output_dir)))
+              .foreachBatch(lambda batch, _id: _write_batch(batch, output_dir, ids_fix_date)))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=interval))
     return writer.start()

@@ -16,7 +16,6 @@ from gaugeline.operators import (dedup, derived, dimensions, facts, kpis, ledger
 from gaugeline.operators.rules import RULES
 from gaugeline.plans.ingest import flatten_documents
 from gaugeline.sources.reference_data import fault_entries
-from gaugeline.sources.scratch import checkpointed
 from harness import telemetry as tm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,7 +63,7 @@ def documents(spark: SparkSession, sf_dir: str, types: int = 4) -> DataFrame:
         (F.col("t") + shift).cast("string").alias("timestamp"), F.lit("B").alias("circuitId"),
         F.col("v").cast("string").alias("dischargePressureKpa"),
         F.lit("ON").alias("pumpRelay1Status"),
-        F.expr("CASE WHEN k = 'error' THEN 288D END").alias("healthActiveFaultCode"),
+        F.expr("CASE WHEN k = 'error' THEN '288' END").alias("healthActiveFaultCode"),
         F.lit("Healthy").alias("healthStatus")))
     records = (F.when(F.col("k") == "signup", F.lit(None))
                .when(F.col("k") == "view", F.filter(reading, lambda _: F.lit(False)))
@@ -106,11 +105,8 @@ def raw_documents_flattened(spark, sf_dir):
            CASE WHEN u % 6 = 0 THEN count(v) END AS pressures
     FROM readings WHERE u % 6 < 4 GROUP BY u % 6""")
 def components_routed(spark, sf_dir):
-    """Rows per component table; unknown component types fall away.
-
-    As in the job, documents are parsed once before four tables are taken from them.
-    """
-    frames = reshape.route(checkpointed(flatten_documents(parsed(spark, sf_dir, types=6))))
+    """Rows per component table; unknown component types fall away."""
+    frames = reshape.route(flatten_documents(parsed(spark, sf_dir, types=6)))
     return (reshape.union_components(frames).groupBy(F.col("componentType").alias("component_type"))
             .agg(F.count("*").alias("readings"),
                  F.when(F.col("component_type") == "compressor", F.count("dischargePressureKpa"))
@@ -501,21 +497,35 @@ def location_performance_summary(spark, sf_dir):
 
 # Dimensions ----------------------------------------------------------------------------------
 
+_MACHINES = ("machines AS (SELECT s, p_partkey, p_brand, p_type, p_size FROM (SELECT DISTINCT "
+             "l_suppkey AS s, l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey), "
+             "owners AS (SELECT c_nationkey, min(c_custkey) AS owner FROM customer "
+             "GROUP BY c_nationkey) ")
+
+
+def _machines(spark, sf_dir) -> DataFrame:
+    """A machine for every part that a supplier ships."""
+    shipped = tm.load(spark, sf_dir, "lineitem").selectExpr("l_suppkey AS s", "l_partkey").distinct()
+    return shipped.join(tm.load(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+
+
 def _topology(spark, sf_dir) -> dict[str, DataFrame]:
-    """Companies from customers, sites from suppliers, machines from parts."""
+    """Companies from customers, sites from suppliers, owned by a customer of their nation, and a
+    machine for every part that a supplier ships."""
     company = tm.load(spark, sf_dir, "customer").selectExpr(
         "concat('CUST-', c_custkey) AS companyId", "c_name AS companyName",
         "c_mktsegment AS industry", "CASE WHEN c_acctbal > 0 THEN 'Enterprise' ELSE 'SMB' END "
         "AS accountType")
-    location = tm.load(spark, sf_dir, "supplier").selectExpr(
-        "concat('LOC-', s_suppkey) AS locationId",
-        "concat('CUST-', s_nationkey) AS companyId", "s_name AS locationName",
-        "concat('City ', s_nationkey) AS city", "'' AS state", "'USA' AS country")
-    # A part becomes a machine of the supplier that its number falls to.
-    machine = tm.load(spark, sf_dir, "part").selectExpr(
-        "concat('HVAC-', p_partkey % 10, '-', p_partkey) AS hvacMachineId",
-        "concat('LOC-', p_partkey % 10) AS locationId", "p_brand AS manufacturer",
-        "p_type AS model")
+    nations = tm.load(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
+        F.min("c_custkey").alias("owner"))
+    location = tm.load(spark, sf_dir, "supplier").join(
+        nations, F.col("s_nationkey") == F.col("c_nationkey")).selectExpr(
+        "concat('LOC-', s_suppkey) AS locationId", "concat('CUST-', owner) AS companyId",
+        "s_name AS locationName", "concat('City ', s_nationkey) AS city", "'' AS state",
+        "'USA' AS country")
+    machine = _machines(spark, sf_dir).selectExpr(
+        "concat('HVAC-', s, '-', p_partkey) AS hvacMachineId", "concat('LOC-', s) AS locationId",
+        "p_brand AS manufacturer", "p_type AS model")
     return {"customers": company, "locations": location, "hvac_machines": machine}
 
 
@@ -526,16 +536,16 @@ def dim_company(spark, sf_dir):
     return dimensions.dim_company(_topology(spark, sf_dir)["customers"])
 
 
-@query("""SELECT concat('LOC-', s_suppkey) AS location_id, concat('CUST-', s_nationkey)
-    AS company_id, s_name AS location_name, concat('City ', s_nationkey) AS city, '' AS state,
-    'USA' AS country FROM supplier""")
+@query("WITH " + _MACHINES + """SELECT concat('LOC-', s_suppkey) AS location_id,
+    concat('CUST-', owner) AS company_id, s_name AS location_name,
+    concat('City ', s_nationkey) AS city, '' AS state, 'USA' AS country
+    FROM supplier JOIN owners ON c_nationkey = s_nationkey""")
 def dim_location(spark, sf_dir):
     return dimensions.dim_location(_topology(spark, sf_dir)["locations"])
 
 
-@query("""SELECT concat('HVAC-', p_partkey % 10, '-', p_partkey) AS hvac_machine_id,
-    concat('LOC-', p_partkey % 10) AS location_id, p_brand AS manufacturer, p_type AS model
-    FROM part""")
+@query("WITH " + _MACHINES + """SELECT concat('HVAC-', s, '-', p_partkey) AS hvac_machine_id,
+    concat('LOC-', s) AS location_id, p_brand AS manufacturer, p_type AS model FROM machines""")
 def dim_hvac_machine(spark, sf_dir):
     return dimensions.dim_hvac_machine(_topology(spark, sf_dir)["hvac_machines"])
 
@@ -621,13 +631,9 @@ def upsert_merge(spark, sf_dir):
     SELECT event_id, timestamp, component_type, failure_reason FROM invalid i
     WHERE component_type NOT IN ('compressor', 'condenser')""")
 def dead_letter_merge(spark, sf_dir):
-    """Rejected rows of two components are stored, then all are sent; none is stored twice.
-
-    As in the job, the rejected rows are settled before the merge reads them more than once.
-    """
+    """Rejected rows of two components are stored, then all are sent; none is stored twice."""
     _, invalid = quality.split_valid(checked(spark, sf_dir))
-    rows = checkpointed(invalid.select("event_id", "timestamp", "component_type",
-                                       "failure_reason"))
+    rows = invalid.select("event_id", "timestamp", "component_type", "failure_reason")
     stored = rows.filter(F.col("component_type").isin("compressor", "condenser"))
     return merge.insert_only(stored, rows, ["event_id"])
 
@@ -716,8 +722,8 @@ def ledger_run_recorded(spark, sf_dir):
 def _registry(spark, sf_dir) -> DataFrame:
     """Small machines had their first compressor replaced; some swaps are not yet in force."""
     topology = _topology(spark, sf_dir)
-    swaps = tm.load(spark, sf_dir, "part").filter("p_size <= 10").select(
-        F.expr("concat('HVAC-', p_partkey % 10, '-', p_partkey)").alias("hvac_machine_id"),
+    swaps = _machines(spark, sf_dir).filter("p_size <= 10").select(
+        F.expr("concat('HVAC-', s, '-', p_partkey)").alias("hvac_machine_id"),
         F.lit("compressor").alias("component_type"), F.lit("A").alias("circuit_id"),
         F.concat(F.lit("NEW-"), F.col("p_partkey").cast("string")).alias("component_id"),
         F.expr("DATE '2024-01-01' + p_size").alias("effective_date"))
@@ -725,18 +731,18 @@ def _registry(spark, sf_dir) -> DataFrame:
                                        topology["customers"], swaps, dt.date(2024, 1, 6))
 
 
-_REGISTRY = """WITH slots(component_type, prefix, circuit_id, suffix) AS (VALUES
+_REGISTRY = "WITH " + _MACHINES + """, slots(component_type, prefix, circuit_id, suffix) AS (VALUES
       ('compressor', 'COMP', 'A', 'A'), ('compressor', 'COMP', 'B', 'B'),
       ('condenser', 'COND', NULL, ''), ('evaporator', 'EVAP', NULL, ''),
       ('expansion_valve', 'EXV', 'A', 'A'), ('expansion_valve', 'EXV', 'B', 'B')),
-    registry AS (SELECT concat('HVAC-', p_partkey % 10, '-', p_partkey) AS hvac_machine_id,
+    registry AS (SELECT concat('HVAC-', s, '-', p_partkey) AS hvac_machine_id,
       concat('LOC-', s_suppkey) AS location_id, s_name AS location_name,
       concat('CUST-', c_custkey) AS company_id, c_name AS company_name, component_type, circuit_id,
       CASE WHEN component_type = 'compressor' AND circuit_id = 'A' AND p_size <= 5
         THEN concat('NEW-', p_partkey)
         ELSE format('{}-{:02d}{:02d}{}', prefix, s_suppkey, p_partkey, suffix) END AS component_id
-      FROM part JOIN supplier ON s_suppkey = p_partkey % 10
-      JOIN customer ON c_custkey = s_nationkey, slots) """
+      FROM machines JOIN supplier ON s_suppkey = s JOIN owners ON c_nationkey = s_nationkey
+      JOIN customer ON c_custkey = owner, slots) """
 _COUNTS = ", ".join(f"count(*) FILTER (component_type = '{c}') AS {c}_count" for c in tm.TYPES)
 
 

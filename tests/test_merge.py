@@ -113,3 +113,26 @@ def test_upsert_refuses_ambiguous_source(spark, tmp_path, scratch):
 def test_delta_without_the_package_says_so(spark, tmp_path):
     with pytest.raises(RuntimeError):
         tables._delta_merge(spark.range(1), str(tmp_path), ["id"], update=False)
+
+
+def test_type_drift_is_refused_before_writing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.append(spark.createDataFrame([("a", "1")], "k string, v string"), path)
+    with pytest.raises(tables.TypeDriftError):
+        tables.append(spark.createDataFrame([("b", 2.0)], "k string, v double"), path)
+    assert tables.read_table(spark, path).count() == 1
+
+
+def test_first_write_has_few_files_per_date(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(4000).selectExpr("id AS k", "id % 10 AS date").repartition(8)
+    tables.merge_insert(rows, path, ["k"], ["date"])
+    for folder in (tmp_path / "t").glob("date=*"):
+        assert len(list(folder.glob("part-*"))) <= 2
+
+
+def test_null_keys_stay_out_of_the_join(spark):
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    source = spark.createDataFrame([(None, 2), (None, 3), ("a", 4), ("b", 5)], "k string, v int")
+    got = merge.unmatched(target, source, ["k"])
+    assert sorted(r["v"] for r in got.collect()) == [2, 3, 5]

@@ -113,16 +113,23 @@ def test_hot_key_spread_over_partitions(spark):
     assert sorted(map(str, again.collect())) == sorted(map(str, kept.collect()))
 
 
-def test_single_keys_are_not_shuffled_when_repeats_are_few(spark, tmp_path):
-    """With a stored list of repeats the bulk of the rows passes without an exchange."""
-    path, repeats = str(tmp_path / "rows"), str(tmp_path / "repeats")
-    spark.range(1000).selectExpr("concat('e', id) AS event_id", "id AS timestamp").write.parquet(path)
-    df = spark.read.parquet(path)
-    dedup.repeated_keys(df, "event_id").write.parquet(repeats)
-    flagged = dedup.flag_duplicates(df, repeated=spark.read.parquet(repeats))
-    plan = flagged._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert flagged.filter("is_duplicate").count() == 0
+@pytest.mark.parametrize("hot", ["hot", None])
+def test_hot_key_never_meets_in_one_task(spark, hot):
+    """With broadcasts off, no task holds more of an id than a few input partitions do."""
+    rows = [(f"e{i}", i) for i in range(2000)] + [(hot, i) for i in range(1600)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame(rows, "event_id string, timestamp bigint").repartition(16)
+        flagged = dedup.flag_duplicates(df).filter(F.col("event_id").eqNullSafe(F.lit(hot)))
+        plan = flagged._jdf.queryExecution().sparkPlan().toString()
+        assert "Join" not in plan
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        held = [r["count"] for r in flagged.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(held) == 1600 and max(held) <= 800
 
 
 def test_latest_attributes_per_key(spark):

@@ -125,3 +125,14 @@ def test_payload_and_device_documents(spark):
                    "component_type": "expansion_valve", "component_manufacturer": "Acme",
                    "health_status": "Healthy", "health_active_fault_code": "288",
                    "inlet_pressure_kpa": 500.0, "refrigerant_flow_rate_kg_min": 42.0}
+
+
+def test_codes_and_flags_as_text(spark):
+    docs = [{"records": [{"eventId": "1", "healthActiveFaultCode": "288", "runStatus": "1",
+                          "healthMaintenanceFlag": "true"},
+                         {"eventId": "2", "healthActiveFaultCode": "NaN", "runStatus": "x",
+                          "healthMaintenanceFlag": False},
+                         {"eventId": "3", "healthActiveFaultCode": 315, "runStatus": 1}]}]
+    rows = flatten_documents(documents(spark, docs)).orderBy("eventId").collect()
+    assert [(r["healthActiveFaultCode"], r["healthMaintenanceFlag"], r["runStatus"]) for r in rows] \
+        == [(288.0, True, 1), (None, False, None), (315.0, None, 1)]
