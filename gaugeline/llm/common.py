@@ -16,8 +16,8 @@ ASCII_LOWER = ASCII_UPPER.lower()
 
 # Classes of the characters most texts are made of, for the standard library's quick matcher. Inside
 # LATIN, LETTER and NUMBER are Unicode's general categories L and N.
-LATIN = r"\t-\r\x20-\x7e\xa1-\u024f"
-LETTER = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+LATIN = r"\t-\r\x20-\x7e\xa1-\u017f"
+LETTER = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
 NUMBER = r"0-9\xb2\xb3\xb9\xbc-\xbe"
 
 
