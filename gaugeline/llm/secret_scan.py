@@ -79,8 +79,9 @@ def _code(char: Column) -> Column:
 def _transitions(token: Column) -> Column:
     """Numbers of a token's successive character pairs."""
     codes = F.transform(F.split(token, ""), _code)
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(codes) - 1, F.lit(1))),
-                       lambda i: F.get(codes, i - 1) * SYMBOLS + F.coalesce(F.get(codes, i), F.lit(0)))
+    after = F.slice(codes, 2, F.greatest(F.length(token) - 1, F.lit(1)))
+    return F.slice(F.zip_with(codes, after, lambda a, b: a * SYMBOLS + F.coalesce(b, F.lit(0))),
+                   1, F.greatest(F.length(token) - 1, F.lit(1)))
 
 
 @dataclass(frozen=True)

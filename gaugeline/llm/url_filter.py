@@ -61,9 +61,11 @@ def grams(sizes: Sequence[int]) -> Column:
     """Character n-grams of host and path, each marked with its part; never empty."""
     def of(mark: str, text: Column, n: int) -> Column:
         chars = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
-        starts = F.sequence(F.lit(0), F.size(chars) - n)
-        return F.when(F.size(chars) >= n, F.transform(starts, lambda i: F.concat(
-            F.lit(mark), *[F.get(chars, i + k) for k in range(n)]))).otherwise(F.array())
+        found = F.transform(chars, lambda c: F.concat(F.lit(mark), c))
+        for k in range(1, n):  # the characters k places on; past the end there are none
+            found = F.zip_with(found, F.slice(chars, k + 1, F.length(text) + 2),
+                               lambda a, b: F.concat(a, b))
+        return F.filter(found, lambda g: g.isNotNull())
     return F.concat(F.array(F.lit("any")), *[
         of(mark, F.col(part), n) for mark, part in (("h:", "host"), ("p:", "path")) for n in sizes])
 

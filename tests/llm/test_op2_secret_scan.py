@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 from conftest import SF
 
@@ -35,9 +37,12 @@ def test_base_spans_as_brute_force(spark, documents):
 
 
 def test_markov_adds_random_tokens_only(spark):
+    rng = random.Random(2)
+    letters = string.ascii_letters + string.digits
+    words = ("configuration", "internationalization", "repository_name", "connection", "national")
     samples = spark.createDataFrame(
-        [(v, True) for v in ("Zk3vQ9xT7pLm2WcR8yHs", "q8Fz1KdV5nJtB7uXe0Gw", "7c72db563d7f6e50cec0")]
-        + [(v, False) for v in ("configuration", "internationalization", "repository_name")]
+        [("".join(rng.choices(letters, k=32)), True) for _ in range(400)]
+        + [(w + u.title() + str(k), False) for w in words for u in words for k in (2024, 1999, 10)]
         + [(None, True), ("abc", None)], "value string, label boolean")
     text = "see internationalizationconfiguration and Xk9vQ3xT1pLm7WcR2yHs here"
     found = op.with_secret_spans(spark.createDataFrame([(text,)], "text string"),
