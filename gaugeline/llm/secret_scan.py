@@ -98,7 +98,8 @@ class MarkovModel:
         return F.aggregate(steps, F.lit(0.0), lambda s, t: s + F.get(table, t)) / F.size(steps)
 
 
-def train(samples: DataFrame, threshold: float = 0.6, smoothing: float = 0.5) -> MarkovModel:
+def train(samples: DataFrame, threshold: float = 0.6, smoothing: float = 0.5,
+          fallback: float = 20.0) -> MarkovModel:
     """Fit both chains on a frame of value and label (true: random string).
 
     The result has one number per pair of characters, whatever the number of samples. Null values
@@ -108,14 +109,18 @@ def train(samples: DataFrame, threshold: float = 0.6, smoothing: float = 0.5) ->
              .select(F.col("label").cast("boolean").alias("label"),
                      F.explode(_transitions(F.col("value"))).alias("pair"))
              .groupBy("label", "pair").count().collect())
-    counts = {True: [smoothing] * SYMBOLS ** 2, False: [smoothing] * SYMBOLS ** 2}
+    counts = {True: [0.0] * SYMBOLS ** 2, False: [0.0] * SYMBOLS ** 2}
     for label, pair, count in pairs:
         counts[label][pair] += count
 
     def chain(label: bool) -> list[float]:
         own = counts[label]
         rows = [sum(own[a * SYMBOLS:(a + 1) * SYMBOLS]) for a in range(SYMBOLS)]
-        return [own[p] / rows[p // SYMBOLS] for p in range(SYMBOLS ** 2)]
+        # How often each character follows any: what a context seen too rarely falls back to.
+        overall = [(sum(own[b::SYMBOLS]) + smoothing) / (sum(rows) + smoothing * SYMBOLS)
+                   for b in range(SYMBOLS)]
+        return [(own[p] + fallback * overall[p % SYMBOLS]) / (rows[p // SYMBOLS] + fallback)
+                for p in range(SYMBOLS ** 2)]
 
     return MarkovModel(tuple(log(r / o) for r, o in zip(chain(True), chain(False))), threshold)
 

@@ -18,6 +18,7 @@ share of the corpus.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -303,10 +304,18 @@ def shard_task(batches, window: int) -> Iterator[pa.RecordBatch]:
         yield found()
 
 
+def split_task(batches, touched: HashFilter, wanted: bool) -> Iterator[pa.RecordBatch]:
+    """Rows that may have spans, or those that have none for sure."""
+    for batch in batches:
+        chosen = touched.maybe(batch["h1"].to_numpy(zero_copy_only=False)) == wanted
+        yield batch.filter(pa.array(chosen))
+
+
 def keep_task(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        have = batch["spans"].to_pylist() if "spans" in batch.schema.names else repeat(None)
         out: list[list] = [[], [], []]
-        for text, spans in zip(batch["text"], batch["spans"].to_pylist()):
+        for text, spans in zip(batch["text"], have):
             words = (text.as_py() or b"").split()
             edge = np.zeros(len(words) + 1, np.int64)
             for span in spans or ():
@@ -347,8 +356,16 @@ def remove_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
         counted.where(F.col("times") > HOT).select("hash"))))
     runs = texts.select("text", "h1", "h2").mapInArrow(
         lambda batches: run_task(batches, window, *filters.value), from_arrow_schema(RUNS))
-    spans = (runs.repartition("shard").sortWithinPartitions("shard")
-             .mapInArrow(lambda batches: shard_task(batches, window), from_arrow_schema(SPANS))
-             .groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
-    return (texts.join(spans, ["h1", "h2"], "left").select("doc_id", "text", "spans")
-            .mapInArrow(keep_task, from_arrow_schema(KEPT)))
+    found = (runs.repartition("shard").sortWithinPartitions("shard")
+             .mapInArrow(lambda batches: shard_task(batches, window), from_arrow_schema(SPANS)))
+    spans = store(found.groupBy("h1", "h2").agg(
+        F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    touched = context.broadcast(HashFilter(spans.select(F.col("h1").alias("hash"))))
+    kept = from_arrow_schema(KEPT)
+    # Only texts that lose words move to meet their spans.
+    losing = (texts.mapInArrow(lambda batches: split_task(batches, touched.value, True), texts.schema)
+              .join(spans, ["h1", "h2"], "left").select("doc_id", "text", "spans")
+              .mapInArrow(keep_task, kept))
+    whole = texts.mapInArrow(
+        lambda batches: keep_task(split_task(batches, touched.value, False)), kept)
+    return losing.unionByName(whole)
