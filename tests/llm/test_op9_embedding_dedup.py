@@ -10,7 +10,8 @@ def brute(rows, cosine=0.9):
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v) or not any(v):
             continue
-        good[i] = np.array(v, float) / np.linalg.norm(v)
+        scaled = np.array(v, float) / max(map(abs, v))  # squares of tiny components are zero
+        good[i] = scaled / np.linalg.norm(scaled)
     ids = sorted(good)
     unit = np.array([good[i] for i in ids])
     linked = unit @ unit.T >= cosine
