@@ -1,6 +1,6 @@
 """Secrets in text: fixed patterns, and character Markov models for everything they miss.
 
-Two chains of characters, one of random strings and one of ordinary identifiers, are estimated from
+Two chains of characters, one of random strings and one of ordinary tokens, are estimated from
 labelled samples. A long unbroken token whose mean log-likelihood ratio favours the random chain is
 reported besides the pattern matches. Everything is built-in column functions.
 """
@@ -28,6 +28,8 @@ BASE = {
 ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 #: A text without such a run has no match of the other patterns either.
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+#: What the base patterns without a keyword match, their least lengths within; not ordinary.
+MATCHED = r"AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}"
 KINDS = (*BASE, "markov")
 #: Characters are numbered by code from 33 on; anything outside ASCII's visible range shares one.
 SYMBOLS = 95
@@ -98,12 +100,13 @@ class MarkovModel:
         return F.aggregate(steps, F.lit(0.0), lambda s, t: s + F.get(table, t)) / F.size(steps)
 
 
-def train(samples: DataFrame, threshold: float = 0.6, smoothing: float = 0.5,
+def train(samples: DataFrame, threshold: float = 0.6, unseen: float = 0.05,
           fallback: float = 20.0) -> MarkovModel:
     """Fit both chains on a frame of value and label (true: random string).
 
-    The result has one number per pair of characters, whatever the number of samples. Null values
-    and labels are left out; a chain without samples is uniform.
+    In every context of either chain the share ``unseen`` is spread over all characters, whatever
+    the number of samples, so a character new to both says nothing. The result has one number per
+    pair of characters. Null values and labels are left out; a chain without samples is uniform.
     """
     pairs = (samples.where((F.length("value") >= 2) & F.col("label").isNotNull())
              .select(F.col("label").cast("boolean").alias("label"),
@@ -116,27 +119,45 @@ def train(samples: DataFrame, threshold: float = 0.6, smoothing: float = 0.5,
     def chain(label: bool) -> list[float]:
         own = counts[label]
         rows = [sum(own[a * SYMBOLS:(a + 1) * SYMBOLS]) for a in range(SYMBOLS)]
+        total = sum(rows)
         # How often each character follows any: what a context seen too rarely falls back to.
-        overall = [(sum(own[b::SYMBOLS]) + smoothing) / (sum(rows) + smoothing * SYMBOLS)
-                   for b in range(SYMBOLS)]
-        return [(own[p] + fallback * overall[p % SYMBOLS]) / (rows[p // SYMBOLS] + fallback)
-                for p in range(SYMBOLS ** 2)]
+        overall = [sum(own[b::SYMBOLS]) / total if total else 1 / SYMBOLS for b in range(SYMBOLS)]
+        return [(1 - unseen) * (own[p] + fallback * overall[p % SYMBOLS])
+                / (rows[p // SYMBOLS] + fallback) + unseen / SYMBOLS for p in range(SYMBOLS ** 2)]
 
     return MarkovModel(tuple(log(r / o) for r, o in zip(chain(True), chain(False))), threshold)
 
 
 def pattern_labelled(docs: DataFrame, size: int = 2_000) -> DataFrame:
-    """Labelled samples from the texts: matched secrets are random strings, words ordinary ones.
+    """Labelled samples from the texts: matched secrets are random strings, other tokens ordinary.
 
-    Distinct values, drawn from the ``size`` distinct texts with the smallest hashes, so bounded by that number.
+    Both sides hold what the texts may lack. For each ordinary token there is a random string, the
+    letters and digits of its hash in mixed, lower or upper case; and an ordinary one, the token
+    between numbers and runs of a separator, as in slugs, dates, constants and rulers. Distinct values,
+    drawn from the ``size`` distinct texts with the smallest hashes, so bounded by that number.
     """
     texts = hash_sample(docs.where(F.length("text") > 0).select("text"), F.col("text"), size)
-    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z_-]{4,}"), F.lit(0)))
-                         .alias("value"), F.lit(False).alias("label"))
-    found = F.concat(*[F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
-                       for pattern, group, _ in BASE.values()])
-    random = texts.select(F.explode(found).alias("value"), F.lit(True).alias("label"))
-    return random.where(F.length("value") >= 16).unionByName(words).distinct()
+    found = F.concat(*[F.filter(F.regexp_extract_all("text", F.lit(pattern), F.lit(group)),
+                                lambda v, n=max(16, least): F.length(v) >= n)
+                       for pattern, group, least in BASE.values()])
+    matched = texts.select(F.explode(found).alias("value"), F.lit(True).alias("label")).distinct()
+    rest = F.regexp_replace(F.regexp_replace("text", BASE["assign"][0], " "), MATCHED, " ")
+    words = (texts.select(F.explode(F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9+/_=-]{4,}"),
+                                                         F.lit(0))).alias("value")).distinct())
+    value, number = F.col("value"), F.crc32("value")
+    digest = F.regexp_replace(F.base64(F.unhex(F.md5("value"))), "[^A-Za-z0-9]", "")
+    random = F.when(number % 3 == 0, F.lower(digest)).when(number % 3 == 1, F.upper(digest)) \
+        .otherwise(digest)
+    mark = F.substring(F.lit("-_/=+"), (number % 5 + 1).cast("int"), F.lit(1))
+    digits = F.lpad((number % 10_000).cast("string"), 4, "0")
+    name = F.when(number % 2 == 0, F.upper(value)).otherwise(value)
+    shaped = F.concat(digits, mark, F.substring(digits, 2, 2), mark, name, mark, digits,
+                      F.repeat(mark, (number % 7 + 1).cast("int")))
+    both = words.select(F.explode(F.array(
+        F.struct(value.alias("value"), F.lit(False).alias("label")),
+        F.struct(shaped.alias("value"), F.lit(False).alias("label")),
+        F.struct(random.alias("value"), F.lit(True).alias("label")))).alias("s")).select("s.*")
+    return matched.unionByName(both).distinct()
 
 
 def joined(found: Column) -> Column:

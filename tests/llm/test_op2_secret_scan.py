@@ -64,3 +64,29 @@ def test_query_and_empty_training(spark, documents):
     model = op.train(op.pattern_labelled(documents.limit(0)))
     assert set(model.ratios) == {0.0}
     assert op.with_secret_spans(documents.limit(0), model).count() == 0
+
+
+CLEAN = ["=" * 20, "-" * 30, "_" * 25, "1234567890123456789012", "2024-01-15/2024-02-20",
+         "session_id_2023_10_05_final", "conference-proceedings-2023", "THE_MAXIMUM_LENGTH_VALUE",
+         "2023-10-05T12-30-45Z/PT1H", "src/main/java/com/example/service", "1234-5678-9012-3456-78"]
+
+
+def test_own_training_leaves_clean_tokens(spark, documents):
+    rng = random.Random(4)
+    secrets = ["".join(rng.choices(a, k=24)) for a in (
+        string.ascii_letters + string.digits, string.ascii_lowercase + string.digits,
+        string.ascii_uppercase + string.digits, string.ascii_lowercase) for _ in range(5)]
+    model = op.train(op.pattern_labelled(documents))
+    df = spark.createDataFrame([(f"a {t} b",) for t in CLEAN + secrets], "text string")
+    got = {r["text"][2:-2]: spans(r["all_found"])
+           for r in op.with_secret_spans(df, model).collect()}
+    assert [t for t in CLEAN if got[t]] == []
+    assert [t for t in secrets if not got[t]] == []
+
+
+def test_unseen_characters_weigh_alike_in_both_chains(spark):
+    samples = spark.createDataFrame([("abcabcabc" + str(k), False) for k in range(500)]
+                                    + [("cbacba", True)], "value string, label boolean")
+    model = op.train(samples)
+    code = ord("=") - 32
+    assert model.ratios[code * op.SYMBOLS + code] == 0
