@@ -26,8 +26,8 @@ BASE = {
 }
 #: One of these, in lower case, is in every text with an assignment; looked for as it is quicker.
 ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
-#: A text without such a run has no match of the other patterns either.
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Tokens that are scored. A text without such a run has no match of the other patterns either.
+TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 #: What the base patterns without a keyword match, their least lengths within; not ordinary.
 MATCHED = r"AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}"
 KINDS = (*BASE, "markov")

@@ -90,3 +90,17 @@ def test_unseen_characters_weigh_alike_in_both_chains(spark):
     model = op.train(samples)
     code = ord("=") - 32
     assert model.ratios[code * op.SYMBOLS + code] == 0
+
+
+def test_own_training_finds_tokens_of_16_characters(spark, documents):
+    rng = random.Random(6)
+    secrets = ["".join(rng.choices(string.ascii_letters + string.digits, k=k))
+               for k in (16, 17, 18, 19) for _ in range(5)]
+    clean = ["-" * 16, "4952935900253052", "2024-01-15T12-30", "user_id_2023_10_05",
+             "thanonontioniner", "x" * 15, secrets[0][:15]]
+    model = op.train(op.pattern_labelled(documents))
+    df = spark.createDataFrame([(f"a {t} b",) for t in clean + secrets], "text string")
+    got = {r["text"][2:-2]: spans(r["all_found"])
+           for r in op.with_secret_spans(df, model).collect()}
+    assert [t for t in clean if got[t]] == []
+    assert [t for t in secrets if got[t] != [(2, 3, 2 + len(t))]] == []
