@@ -8,7 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -70,6 +70,29 @@ def hash_sample(df: DataFrame, key: Column, size: int) -> DataFrame:
     return hashed.where(F.col("_sample_hash") <= bound).dropDuplicates(["_sample_hash"])
 
 
+def hash_sample_each(df: DataFrame, group: str, key: Column, size: int) -> DataFrame:
+    """For each value of the column ``group``, rows of the ``size`` distinct keys with the smallest
+    hashes, one row for each.
+
+    Hashes are first counted in ranges, so only those of the ranges that hold the smallest are
+    ranked, however many a group has. One bound for each group goes to the tasks.
+    """
+    hashed = df.withColumn("_sample_hash", F.xxhash64(key))
+    ranges = hashed.select(group, "_sample_hash").distinct().withColumn(
+        "_range", F.shiftright("_sample_hash", 52))
+    counts = ranges.groupBy(group, "_range").count()
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, -1)
+    wanted = counts.withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).where(
+        F.col("_before") < size).groupBy(group).agg(F.max("_range").alias("_last"))
+    few = ranges.join(F.broadcast(wanted), group).where(F.col("_range") <= F.col("_last"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy("_sample_hash"))
+    bounds = few.withColumn("_place", place).where(F.col("_place") <= size).groupBy(group).agg(
+        F.max("_sample_hash").alias("_bound"))
+    return (hashed.join(F.broadcast(bounds), group).where(F.col("_sample_hash") <= F.col("_bound"))
+            .drop("_bound").dropDuplicates([group, "_sample_hash"]))
+
+
 class HashFilter:
     """Bitmap over a column ``hash`` (long): tells most values that are not in it, never errs on one
     that is.

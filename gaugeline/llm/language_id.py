@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from gaugeline.llm.common import hash_sample
+from gaugeline.llm.common import hash_sample_each
 
 #: First code points of Unicode blocks and the script of what follows.
 SCRIPT_STARTS = (
@@ -165,12 +165,14 @@ def train(labelled: DataFrame, size: int = 6_000, least_share: float = 0.01,
           smoothing: float = 0.1) -> LanguageModel:
     """Fit on a frame of text and lang.
 
-    The ``size`` distinct texts with the smallest hashes are used (a bound, for the model is small);
-    rows without text or language are left out. A language is a candidate for the scripts that hold
+    Of each language the ``size`` distinct texts with letters and the smallest hashes are used (a
+    bound, for the model is small), so every language that has such a text is learned; rows without
+    text or language are left out. A language is a candidate for the scripts that hold
     ``least_share`` of its words.
     """
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sample = hash_sample(usable.select("text", "lang"), F.struct("text", "lang"), size)
+    # Unassigned code points pass too: Python may know letters that the JVM does not.
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"[\p{L}\p{Cn}]"))
+    sample = hash_sample_each(usable.select("text", "lang"), "lang", F.struct("text", "lang"), size)
     counted = (sample.select("lang", "text").mapInArrow(count_task, from_arrow_schema(COUNTS))
                .groupBy("lang", "kind", "bucket").agg(F.sum("count").alias("count")).toPandas())
     langs = sorted(counted["lang"].unique())

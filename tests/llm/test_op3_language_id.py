@@ -49,3 +49,22 @@ def test_spans_scripts_and_odd_texts(spark, odd_documents):
     empty = op.train(train.limit(0))
     assert {r["lang_pred"] for r in op.predict(odd_documents, empty).collect()} == {"und"}
     assert op.predict(odd_documents.limit(0), model).count() == 0
+
+
+def test_rare_language_is_learned_beside_common_ones(spark):
+    rows = [(f"the house and garden number {chr(97 + k % 26)}{chr(97 + k // 26 % 26)}", "en")
+            for k in range(600)] + [("дом и сад короля и дорога", "ru"), ("12 34", "xx")]
+    train = spark.createDataFrame(rows, "text string, lang string")
+    model = op.train(train, size=3)
+    assert model.langs == ["en", "ru"]
+    assert op.label_batch(model, ["дорога и дом", "the garden"], 6.0)[0][0] == "ru"
+
+
+def test_sample_of_each_group_as_brute_force(spark):
+    df = spark.createDataFrame([(f"g{k % 7 % 3}", k % 400) for k in range(2_000)] + [("g9", 1)],
+                               "g string, v long")
+    hashes = df.distinct().withColumn("h", op.F.xxhash64("v")).collect()
+    want = [(g, r["v"]) for g in ("g0", "g1", "g2", "g9")
+            for r in sorted((r for r in hashes if r["g"] == g), key=lambda r: r["h"])[:50]]
+    got = [(r["g"], r["v"]) for r in op.hash_sample_each(df, "g", op.F.col("v"), 50).collect()]
+    assert sorted(got) == sorted(want)
