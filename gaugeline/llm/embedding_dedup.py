@@ -97,16 +97,22 @@ def fit(sample: np.ndarray, codes: int, cosine: float, recall: float, most: int
     return index
 
 
-def place_task(batches, index: MultiIndex, kind: str) -> Iterator[pa.RecordBatch]:
+def place_task(batches, indexes: dict[int, tuple[int, MultiIndex]],
+               kind: str) -> Iterator[pa.RecordBatch]:
+    """Cells of each vector; those of a length are numbered from its own first one on."""
     for batch in batches:
         for k in range(0, batch.num_rows, 1_000):
             part = batch.slice(k, 1_000)
-            rows = part["vector"].to_pylist()
-            vectors = np.array(rows, kind)
-            cells = index.cells(unit(vectors.astype(float)))
-            yield pa.RecordBatch.from_arrays(
-                [part["id"], part["weight"], pa.array([v.tobytes() for v in vectors], pa.binary()),
-                 pa.array(list(cells), PLACED[3].type)], schema=PLACED)
+            sizes = np.array([len(v) for v in part["vector"]])
+            for width in np.unique(sizes).tolist():
+                own = part.take(pa.array(np.flatnonzero(sizes == width)))
+                first, index = indexes[width]
+                vectors = np.array(own["vector"].to_pylist(), kind)
+                cells = first + index.cells(unit(vectors.astype(float)))
+                yield pa.RecordBatch.from_arrays(
+                    [own["id"], own["weight"],
+                     pa.array([v.tobytes() for v in vectors], pa.binary()),
+                     pa.array(list(cells), PLACED[3].type)], schema=PLACED)
 
 
 def block_links(group: pa.Table, cosine: float, kind: str) -> pa.Table:
@@ -168,11 +174,11 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9, recall: floa
     reachable, ``kept`` tells whether it is the vector's own.
 
     Null and zero vectors and vectors with null or non-finite components link with nothing; so do
-    rows without vec_id, which have no component and are kept. Vectors of another length than most
-    are compared with none. Rows that share vec_id and vector are one vector; those that share only
+    rows without vec_id, which have no component and are kept. Vectors are compared with those of
+    their own length; of length 1, all of one sign are linked. Rows that share vec_id and vector are one vector; those that share only
     the id are one node, whose links are added. Equal vectors are one class and are not compared.
 
-    Codebooks are fitted on ``sample`` distinct vectors at most; every vector is indexed. Codes per
+    Each length has codebooks fitted on ``sample`` distinct vectors at most; every vector is indexed. Codes per
     half grow with the square root of the number of vectors, so that a cell keeps ``per_cell``. A
     cell of any size is compared block by block, none of them over ``block`` vectors on average.
     """
@@ -191,21 +197,26 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9, recall: floa
     classes = store(members.groupBy("h1", "h2").agg(
         F.min("vec_id").alias("id"), F.count("*").alias("weight"),
         F.first("vector").alias("vector")), "vector-classes")
-    lengths = classes.groupBy(F.size("vector").alias("n")).count().orderBy(
-        F.desc("count"), "n").limit(1).collect()
-    result = rows.select("vec_id").withColumns({
-        "n_links": F.lit(0).cast("long"), "component_id": F.col("vec_id"), "kept": F.lit(True)})
-    if not lengths or lengths[0]["n"] < 2:
-        return result
-    total, width = lengths[0]["count"], lengths[0]["n"]
-    alike = classes.where(F.size("vector") == width)
-    codes = int(np.clip(round((total / per_cell) ** 0.5), 1, most_codes))
-    chosen = hash_sample(alike, F.struct("h1", "h2"), sample).select("vector").toArrow()
-    index = fit(unit(np.array(chosen["vector"].to_pylist(), float)), codes, cosine, recall)
-    shared = spark.sparkContext.broadcast(index)
-    placed = store(alike.select("id", "weight", "vector").mapInArrow(
-        lambda batches: place_task(batches, shared.value, kind), from_arrow_schema(PLACED)),
-        "placed")
+    width = F.size("vector")
+    lengths = classes.groupBy(width.alias("n")).count().orderBy("n").collect()
+    if not lengths:
+        return rows.select("vec_id").withColumns({
+            "n_links": F.lit(0).cast("long"), "component_id": F.col("vec_id"),
+            "kept": F.lit(True)})
+    indexes, first = {}, 0
+    for n, total in lengths:
+        if n < 2 or total < 2:
+            continue
+        codes = int(np.clip(round((total / per_cell) ** 0.5), 1, most_codes))
+        chosen = hash_sample(classes.where(width == n), F.struct("h1", "h2"),
+                             sample).select("vector").toArrow()
+        indexes[n] = first, fit(unit(np.array(chosen["vector"].to_pylist(), float)), codes, cosine,
+                                recall)
+        first += codes ** 2
+    shared = spark.sparkContext.broadcast(indexes)
+    placed = store(classes.where(width.isin(list(indexes))).select("id", "weight", "vector")
+                   .mapInArrow(lambda batches: place_task(batches, shared.value, kind),
+                               from_arrow_schema(PLACED)), "placed")
 
     spread = placed.select("*", F.explode("cells").alias("cell"))
     blocks = (placed.select(F.explode("cells").alias("cell")).groupBy("cell").count()
@@ -218,6 +229,13 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9, recall: floa
               .drop("other", "blocks"))
     found = store(paired.groupBy("cell", "low", "high").applyInArrow(
         lambda group: block_links(group, cosine, kind), from_arrow_schema(FOUND)), "vector-links")
+    if cosine <= 1 and any(n == 1 for n, _ in lengths):
+        # Two vectors of length 1 have the cosine 1 or -1, so sums by sign count the links.
+        single = classes.where(width == 1).withColumn("positive", F.get("vector", F.lit(0)) > 0)
+        signs = single.groupBy("positive").agg(F.sum("weight").alias("all"),
+                                               F.min("id").alias("least"))
+        found = found.unionByName(single.join(F.broadcast(signs), "positive").select(
+            "id", (F.col("all") - F.col("weight")).alias("links"), "least"))
 
     counts = found.groupBy("id").agg(F.sum("links").alias("found"))
     by_class = (members.join(classes.select("h1", "h2", "id", "weight"), ["h1", "h2"])

@@ -69,3 +69,23 @@ def test_cells_come_in_order_of_distance():
     far = (op.distances(x[:, :4], index.first)[:, :, None]
            + op.distances(x[:, 4:], index.second)[:, None, :]).reshape(50, -1)
     assert (index.cells(x) == np.argsort(far, axis=1)[:, :9]).all()
+
+
+def brute_by_length(df):
+    rows = [(r[0], r[1]) for r in df.select("vec_id", "embedding").collect()]
+    return sorted((r for n in {len(v) for _, v in rows}
+                   for r in brute([x for x in rows if len(x[1]) == n])), key=repr)
+
+
+def test_every_length_is_compared(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for n, count in ((1, 30), (2, 25), (5, 40), (16, 60)):
+        base = rng.normal(size=(8, n))
+        rows += [(len(rows) + k, (base[k % 8] * (1 + k) + 0.02 * rng.normal(size=n)).tolist())
+                 for k in range(count)]
+    rows += [(500, [2.0]), (501, [2.0]), (502, [1.0] * 7), (503, [1.0] * 7), (504, [1.0] * 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for part in (df, df.where("size(embedding) = 1"), df.where("vec_id >= 502")):
+        got = sorted(map(tuple, op.near_duplicate_vectors(part).collect()), key=repr)
+        assert got == brute_by_length(part)
