@@ -1,7 +1,8 @@
 """Time the registered queries and print one JSON line.
 
 ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose the tables and cores. Each query runs twice over its
-whole result (``noop`` sink); ``queries`` holds the second, warm time and ``cold`` the first.
+whole result (``noop`` sink); ``queries`` holds the second, warm time and ``cold`` the first. A
+query that raises is reported under ``failed``, not timed.
 """
 
 from __future__ import annotations
@@ -27,15 +28,19 @@ def main() -> None:
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/events.parquet").count()
-    cold, warm = {}, {}
+    cold, warm, failed = {}, {}, {}
     for name in names:
         for times in (cold, warm):
             begin = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            try:
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            except Exception as error:  # the other queries still get their figures
+                failed[name] = f"{type(error).__name__}: {str(error)[:200]}"
+                break
             times[name] = round(time.perf_counter() - begin, 3)
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(warm.values()), 3), "unit": "sec",
-        "queries": warm, "cold": cold, "cold_total": round(sum(cold.values()), 3),
+        "queries": warm, "failed": failed, "cold": cold, "cold_total": round(sum(cold.values()), 3),
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "cpus": int(cpus),
         "spark": spark.version}))
 

@@ -497,13 +497,13 @@ def location_performance_summary(spark, sf_dir):
 
 # Dimensions ----------------------------------------------------------------------------------
 
-_MACHINES = ("machines AS (SELECT s, p_partkey, p_brand, p_type, p_size FROM (SELECT DISTINCT "
+_SHIPPED_MACHINES = ("machines AS (SELECT s, p_partkey, p_brand, p_type, p_size FROM (SELECT DISTINCT "
              "l_suppkey AS s, l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey), "
              "owners AS (SELECT c_nationkey, min(c_custkey) AS owner FROM customer "
              "GROUP BY c_nationkey) ")
 
 
-def _machines(spark, sf_dir) -> DataFrame:
+def _shipped_machines(spark, sf_dir) -> DataFrame:
     """A machine for every part that a supplier ships."""
     shipped = tm.load(spark, sf_dir, "lineitem").selectExpr("l_suppkey AS s", "l_partkey").distinct()
     return shipped.join(tm.load(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -523,7 +523,7 @@ def _topology(spark, sf_dir) -> dict[str, DataFrame]:
         "concat('LOC-', s_suppkey) AS locationId", "concat('CUST-', owner) AS companyId",
         "s_name AS locationName", "concat('City ', s_nationkey) AS city", "'' AS state",
         "'USA' AS country")
-    machine = _machines(spark, sf_dir).selectExpr(
+    machine = _shipped_machines(spark, sf_dir).selectExpr(
         "concat('HVAC-', s, '-', p_partkey) AS hvacMachineId", "concat('LOC-', s) AS locationId",
         "p_brand AS manufacturer", "p_type AS model")
     return {"customers": company, "locations": location, "hvac_machines": machine}
@@ -536,7 +536,7 @@ def dim_company(spark, sf_dir):
     return dimensions.dim_company(_topology(spark, sf_dir)["customers"])
 
 
-@query("WITH " + _MACHINES + """SELECT concat('LOC-', s_suppkey) AS location_id,
+@query("WITH " + _SHIPPED_MACHINES + """SELECT concat('LOC-', s_suppkey) AS location_id,
     concat('CUST-', owner) AS company_id, s_name AS location_name,
     concat('City ', s_nationkey) AS city, '' AS state, 'USA' AS country
     FROM supplier JOIN owners ON c_nationkey = s_nationkey""")
@@ -544,7 +544,7 @@ def dim_location(spark, sf_dir):
     return dimensions.dim_location(_topology(spark, sf_dir)["locations"])
 
 
-@query("WITH " + _MACHINES + """SELECT concat('HVAC-', s, '-', p_partkey) AS hvac_machine_id,
+@query("WITH " + _SHIPPED_MACHINES + """SELECT concat('HVAC-', s, '-', p_partkey) AS hvac_machine_id,
     concat('LOC-', s) AS location_id, p_brand AS manufacturer, p_type AS model FROM machines""")
 def dim_hvac_machine(spark, sf_dir):
     return dimensions.dim_hvac_machine(_topology(spark, sf_dir)["hvac_machines"])
@@ -722,7 +722,7 @@ def ledger_run_recorded(spark, sf_dir):
 def _registry(spark, sf_dir) -> DataFrame:
     """Small machines had their first compressor replaced; some swaps are not yet in force."""
     topology = _topology(spark, sf_dir)
-    swaps = _machines(spark, sf_dir).filter("p_size <= 10").select(
+    swaps = _shipped_machines(spark, sf_dir).filter("p_size <= 10").select(
         F.expr("concat('HVAC-', s, '-', p_partkey)").alias("hvac_machine_id"),
         F.lit("compressor").alias("component_type"), F.lit("A").alias("circuit_id"),
         F.concat(F.lit("NEW-"), F.col("p_partkey").cast("string")).alias("component_id"),
@@ -731,7 +731,7 @@ def _registry(spark, sf_dir) -> DataFrame:
                                        topology["customers"], swaps, dt.date(2024, 1, 6))
 
 
-_REGISTRY = "WITH " + _MACHINES + """, slots(component_type, prefix, circuit_id, suffix) AS (VALUES
+_REGISTRY = "WITH " + _SHIPPED_MACHINES + """, slots(component_type, prefix, circuit_id, suffix) AS (VALUES
       ('compressor', 'COMP', 'A', 'A'), ('compressor', 'COMP', 'B', 'B'),
       ('condenser', 'COND', NULL, ''), ('evaporator', 'EVAP', NULL, ''),
       ('expansion_valve', 'EXV', 'A', 'A'), ('expansion_valve', 'EXV', 'B', 'B')),
