@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (decontamination, embedding_dedup, language_id, minhash, packing,
-                           quality, secret_scan, substring_dedup, token_counts, url_filter)
+                           quality, quality_rules, secret_scan, substring_dedup, token_counts, url_filter)
 from gaugeline.llm.common import table, workers_import_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op10_url_filter(spark, sf_dir):
     model = url_filter.train(url_filter.rule_labelled(pages, URL_RULES))
     return url_filter.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule",
                                                             "verdict")
+
+
+@query
+def op13_quality_rules(spark, sf_dir):
+    return quality_rules.judge_quality(table(spark, sf_dir, "documents"))
