@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import (decontamination, embedding_dedup, language_id, minhash, packing,
-                           quality, quality_rules, secret_scan, substring_dedup, token_counts, url_filter)
+from gaugeline.llm import (decontamination, embedding_dedup, language_id, lexical_search, minhash,
+                           packing, quality, quality_rules, secret_scan, substring_dedup, token_counts,
+                           url_filter, whitening)
 from gaugeline.llm.common import table, workers_import_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +109,42 @@ def op10_url_filter(spark, sf_dir):
                                                             "verdict")
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+@query
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"), most=20)
+
+
+ORACLES["op12_lexical_search"] = r"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+    items AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark),
+    total AS (SELECT count(*) FILTER (len(t) > 0) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms
+        FROM docs),
+    counted AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs)
+        GROUP BY r, term),
+    weights AS (SELECT term, CAST(floor(1000 * ln((2::DOUBLE * any_value(docs) + 2)
+        / (2::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM counted, total GROUP BY term),
+    lengths AS (SELECT r, doc_id, 75 + (25 * len(t) * docs) // terms AS m FROM docs, total),
+    wanted AS (SELECT i, term, count(*) AS times FROM (SELECT i, unnest(t) AS term FROM items)
+        GROUP BY i, term),
+    scored AS (SELECT i, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))
+        AS BIGINT) AS score FROM wanted JOIN counted USING (term) JOIN weights USING (term)
+        JOIN lengths USING (r) GROUP BY i, r),
+    placed AS (SELECT i, r, score, doc_id, row_number() OVER (PARTITION BY i ORDER BY score DESC,
+        doc_id NULLS LAST) AS p FROM scored JOIN lengths USING (r) WHERE score > 0)
+    SELECT item_id, CAST(p AS INT) AS rank, doc_id, score FROM placed JOIN items USING (i)
+    WHERE p <= 20"""
+
+
 @query
 def op13_quality_rules(spark, sf_dir):
     return quality_rules.judge_quality(table(spark, sf_dir, "documents"))
