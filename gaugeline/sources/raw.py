@@ -5,12 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from gaugeline.operators.ledger import MONTHS
-from gaugeline.schemas import raw_schema
 from gaugeline.sources.storage import glob, join_path
 
 
@@ -27,22 +26,22 @@ def raw_directories(spark: SparkSession, input_dir: str,
         input_dir, "location_*", f"{day.year:04d}", MONTHS[day.month - 1], f"day{day.day}"))]
 
 
+def raw_texts(reader: DataFrameReader | DataStreamReader, multi_line: bool,
+              paths: str | list[str]) -> DataFrame:
+    """(text, path) of every file below the paths, or of every line with ``multi_line`` off."""
+    return (reader.option("recursiveFileLookup", "true").option("wholetext", multi_line)
+            .format("text").load(paths)
+            .select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("path")))
+
+
 def read_raw(spark: SparkSession, input_dir: str, dates: Iterable[dt.date] | None = None,
-             multi_line: bool = True, schema: T.StructType | None = None,
-             infer: bool = False) -> DataFrame | None:
-    """All documents below ``input_dir``, or None when it has no location folders.
+             multi_line: bool = True) -> DataFrame | None:
+    """All document texts below ``input_dir`` as (text, path), or None when it has no location folders.
 
-    ``multi_line`` is one document per file; turn it off for line-delimited files, which Spark can
-    split. ``infer`` reads unknown fields too, at the price of an extra pass over the files;
-    prefer ``raw_schema`` with extra fields.
+    ``multi_line`` is one text per file; turn it off for line-delimited files, which Spark can split.
     """
     directories = raw_directories(spark, input_dir, dates)
-    if not directories:
-        return None
-    reader = spark.read.option("recursiveFileLookup", "true").option("multiLine", multi_line)
-    if infer:
-        return reader.json(directories)
-    return reader.schema(schema or raw_schema()).json(directories)
+    return raw_texts(spark.read, multi_line, directories) if directories else None
 
 
 def raw_paths(spark: SparkSession, input_dir: str) -> DataFrame | None:
