@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -13,18 +14,26 @@ def _known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
 
 
-def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key the target lacks; a NULL key never matches.
+def _spread(source: DataFrame, keys: Sequence[str]) -> Column:
+    """-1 for a complete key; for others a number from the row's content, since rows that match nothing
+    need not meet in one task."""
+    hashable = [f.name for f in source.schema if isinstance(f.dataType, T.AtomicType)
+                and not isinstance(f.dataType, T.VariantType)]
+    number = F.pmod(F.xxhash64(*hashable), F.lit(65_536)).cast("int")
+    missing = " OR ".join(f"`{k}` IS NULL" for k in keys)
+    return F.when(F.expr(missing), number).otherwise(-1)
 
-    The target is reduced to the keys at hand first. When the batch is small its keys are
-    broadcast and the target is only scanned for its key columns, not shuffled.
-    """
-    keys = list(keys)
-    wanted = _known_keys(source.select(*keys), keys).distinct()
-    held = target.select(*keys).join(wanted, keys, "left_semi")
-    complete = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
-    return _known_keys(source, keys).join(held, keys, "left_anti").unionByName(
-        source.filter(f"NOT ({complete})"))
+
+def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows whose key the target lacks; a NULL key never matches. Both sides are read once, the
+    target for its key columns only."""
+    held = _known_keys(target.select(*keys), keys).select(
+        *[F.col(k).alias(f"_held_{n}") for n, k in enumerate(keys)], F.lit(-1).alias("_held"))
+    rows = source.withColumn("_spread", _spread(source, keys))
+    match = F.col("_spread") == F.col("_held")
+    for n, k in enumerate(keys):
+        match = match & (F.col(f"`{k}`") == F.col(f"_held_{n}"))
+    return rows.join(held, match, "left_anti").select(*source.columns)
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Layer tables: partitioned files with a recorded schema, written by append, merge or upsert.
 
-The schema of a table is kept next to its data, so a read needs no footer pass and a column added
-by a later writer is NULL in older rows. A ``delta`` table is handed to Delta Lake where the
+The schema of a table is kept next to its data, so a read needs no footer pass, a column added by a
+later writer is NULL in older rows, and a column's type grows with what is written to it. A ``delta`` table is handed to Delta Lake where the
 session has it; everything else is done with plain Spark writes.
 """
 
@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline.operators import merge
-from gaugeline.operators.reshape import add_missing_columns
 from gaugeline.sources.scratch import Scratch
 from gaugeline.sources.storage import exists, join_path, read_text, write_text
+from gaugeline.sources.widening import (TypeDriftError, grown, physical_schema, to_logical,
+                                        to_physical)
+
+__all__ = ["AmbiguousMergeError", "TypeDriftError", "append", "merge_insert", "read_table",
+           "recorded_types", "table_exists", "upsert"]
 
 _SCHEMA_FILE = "_table_schema.json"
 
@@ -31,29 +35,20 @@ def _recorded_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(text)) if text else None
 
 
-class TypeDriftError(ValueError):
-    """A column comes with another type than the table has."""
-
-
-def _check_types(spark: SparkSession, path: str, written: T.StructType) -> None:
-    """Raise before anything is written that the table could not be read back with."""
-    known = {f.name: f.dataType.simpleString() for f in _recorded_schema(spark, path) or ()}
-    drift = [f"{f.name}: {known[f.name]} in the table, {f.dataType.simpleString()} in the batch"
-             for f in written if known.get(f.name, f.dataType.simpleString())
-             != f.dataType.simpleString()]
-    if drift:
-        raise TypeDriftError("; ".join(drift))
+def recorded_types(spark: SparkSession, path: str) -> dict[str, str]:
+    """Column types of a table as text; empty where none is recorded."""
+    return {f.name: f.dataType.simpleString() for f in _recorded_schema(spark, path) or ()}
 
 
-def _record_schema(spark: SparkSession, path: str, written: T.StructType) -> None:
+def _record_schema(spark: SparkSession, path: str, written: T.StructType,
+                   fixed: Sequence[str] = ()) -> T.StructType:
+    """Record what a batch adds to the table and return its schema. Raises before anything is written
+    that the table could not be read back with. Older files stay readable with the new schema."""
     known = _recorded_schema(spark, path)
-    merged = T.StructType([T.StructField(f.name, f.dataType, True) for f in (known or [])])
-    names = set(merged.fieldNames())
-    for f in written:
-        if f.name not in names:
-            merged = merged.add(f.name, f.dataType, True)
-    if known is None or merged != known:
+    merged = grown(known, written, fixed)
+    if known is None or merged.json() != known.json():
         write_text(spark, join_path(path, _SCHEMA_FILE), merged.json())
+    return merged
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
@@ -72,7 +67,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     schema = _recorded_schema(spark, path)
     if schema is None:
         return reader.option("mergeSchema", "true").load(path)
-    return reader.schema(schema).load(path)
+    return to_logical(reader.schema(physical_schema(schema)).load(path), schema)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
@@ -80,23 +75,34 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     """Append as is. ``rebalance`` gathers rows by partition value before writing, splitting large
     partitions and packing small ones, so that file sizes stay even."""
     if fmt != "delta":
-        _check_types(df.sparkSession, path, df.schema)
+        df = to_physical(df, _record_schema(df.sparkSession, path, df.schema, partition_by))
     out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if rebalance else df
     out.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
-    if fmt != "delta":
-        _record_schema(df.sparkSession, path, df.schema)
 
 
-def _touched_values(source: DataFrame, column: str) -> tuple[list, bool]:
-    """Partition values of a batch - one per day - and whether NULL is among them."""
-    values = [row[0] for row in source.select(column).distinct().collect()]
-    return [v for v in values if v is not None], None in values
+def _within(df: DataFrame, source: DataFrame, column: str) -> tuple[DataFrame, DataFrame, bool]:
+    """Rows of the frame, and values of the batch, between the batch's least and greatest value of the
+    column; and whether the batch has NULL. Two numbers reach the driver."""
+    low, high, rows, given = source.agg(F.min(column), F.max(column), F.count(F.lit(1)),
+                                        F.count(column)).first()
+    inside = F.col(column).between(F.lit(low), F.lit(high))
+    return df.filter(inside), source.select(column).filter(inside), given < rows
 
 
 def _in_partitions(df: DataFrame, column: str, source: DataFrame) -> DataFrame:
-    values, with_null = _touched_values(source, column)
-    condition = F.col(column).isin(values)
-    return df.filter(condition | F.col(column).isNull() if with_null else condition)
+    """The partitions a batch touches. The files between its first and last value are what is listed;
+    the semi join prunes those of other values when it runs."""
+    rows, values, with_null = _within(df, source, column)
+    touched = rows.join(values.distinct(), column, "left_semi").select(*df.columns)
+    return touched.unionByName(df.filter(F.col(column).isNull())) if with_null else touched
+
+
+def _with_keys(df: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of the frame that the batch may have. The range of the first key prunes row groups; beyond
+    that Spark may send a Bloom filter of a small batch to the scan of a large table."""
+    rows, values, _ = _within(df, source, keys[0])
+    wanted = source.select(*keys) if len(keys) > 1 else values
+    return rows.select(*keys).join(wanted, list(keys), "left_semi")
 
 
 def merge_insert(df: DataFrame, path: str, keys: Sequence[str],
@@ -105,8 +111,10 @@ def merge_insert(df: DataFrame, path: str, keys: Sequence[str],
     """Insert rows whose key the table lacks; the first write of a key wins.
 
     The first write to a new table appends everything. By default keys are compared with the whole
-    table. Where a key always comes with the same partition value, ``key_fixes_partition`` limits
-    the comparison to the partitions of the batch.
+    table, of which only the key columns are read and only keys of the batch are kept. Where a key
+    always comes with the same partition value, ``key_fixes_partition`` limits the comparison to the
+    partitions of the batch. The batch is read a few times, mostly its keys alone: store it first where
+    that is dear.
     """
     spark = df.sparkSession
     target = read_table(spark, path, fmt)
@@ -117,7 +125,7 @@ def merge_insert(df: DataFrame, path: str, keys: Sequence[str],
     else:
         if key_fixes_partition and partition_by:
             target = _in_partitions(target, partition_by[0], df)
-        append(merge.unmatched(target, df, keys), path, partition_by, fmt,
+        append(merge.unmatched(_with_keys(target, df, keys), df, keys), path, partition_by, fmt,
                rebalance=bool(partition_by))
 
 
@@ -139,14 +147,15 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], scratch: Scratch,
     if fmt == "delta":
         _delta_merge(source, path, keys, update=True)
         return source
+    if partition_by and not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be part of the key")
+    schema = grown(_recorded_schema(spark, path), source.schema, partition_by)
     if partition_by:
-        if not set(partition_by) <= set(keys):
-            raise ValueError("partition columns must be part of the key")
         target = _in_partitions(target, partition_by[0], source)
     if not merge.ambiguous_keys(target, source, keys).isEmpty():
         raise AmbiguousMergeError(f"{path}: several source rows for one key {list(keys)}")
-    merged = merge.upsert(target, source, keys)
-    _record_schema(spark, path, source.schema)
+    _record_schema(spark, path, source.schema, partition_by)
+    merged = to_physical(merge.upsert(target, source, keys), schema)
     if partition_by:
         (merged.hint("rebalance", *[F.col(c) for c in partition_by]).write.format(fmt)
          .mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -154,11 +163,8 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], scratch: Scratch,
     else:
         # Small unpartitioned table: a plain overwrite empties the folder before it writes, so the
         # result is stored elsewhere first.
-        stored = scratch.store(merged)
-        schema = _recorded_schema(spark, path)
-        (add_missing_columns(stored, schema).select(*schema.fieldNames())
-         .write.format(fmt).mode("overwrite").save(path))
-        _record_schema(spark, path, schema)
+        (scratch.store(merged).write.format(fmt).mode("overwrite").save(path))
+        write_text(spark, join_path(path, _SCHEMA_FILE), schema.json())
     return source
 
 

@@ -2,6 +2,7 @@ import datetime as dt
 import importlib.util
 
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeline.operators import merge
 from gaugeline.sources import tables
@@ -136,3 +137,103 @@ def test_null_keys_stay_out_of_the_join(spark):
     source = spark.createDataFrame([(None, 2), (None, 3), ("a", 4), ("b", 5)], "k string, v int")
     got = merge.unmatched(target, source, ["k"])
     assert sorted(r["v"] for r in got.collect()) == [2, 3, 5]
+
+
+def test_types_grow_with_what_is_written(spark, tmp_path, scratch):
+    path = str(tmp_path / "t")
+
+    def put(rows, kind):
+        tables.append(spark.createDataFrame(rows, f"k string, v {kind}"), path)
+
+    put([("a", 1)], "int")
+    put([("b", 2 ** 40)], "bigint")
+    put([("c", 2.5)], "double")
+    put([("d", 7), ("e", None)], "int")
+    got = tables.read_table(spark, path)
+    assert dict(got.dtypes)["v"] == "double"
+    assert {r["k"]: r["v"] for r in got.collect()} == {"a": 1.0, "b": 2.0 ** 40, "c": 2.5, "d": 7.0,
+                                                       "e": None}
+    tables.upsert(spark.createDataFrame([("a", 9), ("f", 10)], "k string, v bigint"), path, ["k"], scratch)
+    assert {r["k"]: r["v"] for r in tables.read_table(spark, path).collect()} == {
+        "a": 9.0, "b": 2.0 ** 40, "c": 2.5, "d": 7.0, "e": None, "f": 10.0}
+    for write in (lambda df: tables.append(df, path), lambda df: tables.upsert(df, path, ["k"], scratch)):
+        with pytest.raises(tables.TypeDriftError):
+            write(spark.createDataFrame([("a", "text")], "k string, v string"))
+    assert tables.read_table(spark, path).count() == 6
+
+
+def test_types_grow_in_upserts_of_partitions(spark, tmp_path, scratch):
+    path = str(tmp_path / "t")
+
+    def put(rows, kind):
+        tables.upsert(spark.createDataFrame(rows, f"k string, v {kind}, date date"), path, ["date", "k"],
+                      scratch, ["date"])
+
+    put([("a", 1, D1), ("b", 1, D2)], "int")
+    put([("a", 1.5, D1), ("c", 2.5, D3)], "double")
+    got = tables.read_table(spark, path).select("k", "v", "date")
+    assert rowset(got) == sorted(map(str, [("a", 1.5, D1), ("b", 1.0, D2), ("c", 2.5, D3)]))
+    with pytest.raises(tables.TypeDriftError):
+        tables.append(spark.createDataFrame([("a", 1.0, "x")], "k string, v double, date string"), path,
+                      ["date"])
+
+
+@pytest.mark.parametrize("a, b, want", [
+    ("int", "bigint", "bigint"), ("bigint", "decimal(10,2)", "decimal(22,2)"),
+    ("decimal(38,0)", "decimal(10,5)", "double"), ("float", "int", "double"),
+    ("array<int>", "array<double>", "array<double>"), ("string", "int", None),
+    ("struct<a:int>", "struct<a:bigint,b:string>", "struct<a:bigint,b:string>"),
+    ("date", "timestamp", None), ("boolean", "int", None), ("map<string,int>", "map<string,bigint>",
+                                                           "map<string,bigint>"),
+    ("struct<a:int>", "struct<a:string>", None), ("void", "date", "date")])
+def test_supremum(a, b, want):
+    from gaugeline.sources.widening import _parsed, supremum
+    for x, y in ((a, b), (b, a)):
+        got = supremum(_parsed(x), _parsed(y))
+        assert (got and got.simpleString()) == want
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+
+
+def test_merge_reads_the_batch_once_and_null_keys_are_spread(spark, tmp_path):
+    for name in ("t", "s"):
+        spark.range(1_000).selectExpr("cast(id AS string) AS k", "id AS v").write.parquet(
+            str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / n)) for n in ("t", "s"))
+    assert scans(merge.unmatched(target, source, ["k"])) == 2
+    many = source.select(F.lit(None).cast("string").alias("k"), "v")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = merge.unmatched(target, many, ["k"]).withColumn("p", F.spark_partition_id())
+        assert parts.groupBy("p").count().agg(F.max("count")).first()[0] < 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_merge_prunes_partitions_and_filters_the_scan_by_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.append(spark.range(3_000).selectExpr(
+        "cast(id AS string) AS k", "date_add(DATE '2025-01-01', cast(id % 30 AS int)) AS date"), path,
+        ["date"])
+    batch_path = str(tmp_path / "b")
+    spark.createDataFrame([("7", D1), ("8", None), ("x", D3)], "k string, date date").write.parquet(
+        batch_path)
+    target, batch = tables.read_table(spark, path), spark.read.parquet(batch_path)
+    touched = tables._in_partitions(target, "date", batch)
+    assert {r["date"] for r in touched.select("date").distinct().collect()} == {D1, D3}
+    assert "dynamicpruning" in touched._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        held = tables._with_keys(target, batch, ["k"])
+        plan = held._jdf.queryExecution().executedPlan().toString()
+        assert "might_contain" in plan and "GreaterThanOrEqual(k,7)" in plan
+        assert [r["k"] for r in held.collect()] == ["7", "8"]
+    finally:
+        spark.conf.unset("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
