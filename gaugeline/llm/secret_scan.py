@@ -7,6 +7,7 @@ reported besides the pattern matches. Everything is built-in column functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from math import log
@@ -36,37 +37,92 @@ SYMBOLS = 95
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
-def spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
-    """Spans of a pattern's matches, leftmost and non-overlapping, in code points.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column], block: int = 128) -> Column:
+    """What ``combine`` makes of 0 and all values before each one.
 
-    The pieces between matches and the matches, laid end to end, give the positions.
+    Arrays cannot grow in place, so one that grew by every value would cost the square of their number;
+    here those of a block grow, and one with an entry for each block.
     """
+    def last(done: Column) -> Column:
+        return F.element_at(done, -1)
+
+    def grown(parts: Column, start: Column) -> Column:
+        return F.slice(F.aggregate(parts, F.array(start), lambda done, v: F.concat(
+            done, F.array(combine(last(done), v)))), F.lit(1), F.size(parts))
+
+    def blocks(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / block).cast("int")),
+                           lambda k: F.slice(v, k * block + 1, F.lit(block)))
+
+    def all_of(parts: Column) -> Column:
+        tops = F.transform(parts, lambda b: F.aggregate(b, F.lit(0), combine))
+        return let(grown(tops, F.lit(0)), lambda starts: F.flatten(F.zip_with(parts, starts, grown)))
+
+    none = F.array().cast("array<int>")
+    return let(values, lambda v: F.when(F.size(v) == 0, none).otherwise(let(blocks(v), all_of)))
+
+
+def placed(items: Column, kind: int) -> Column:
+    """Spans of the good ones of ``items`` (gap, size, good), which lie end to end, each after its gap."""
+    def all_of(x: Column) -> Column:
+        begins = running(F.transform(x, lambda i: i["gap"] + i["size"]), lambda a, b: a + b)
+        return F.filter(F.zip_with(x, begins, lambda i, at: F.when(i["good"], F.struct(
+            (at + i["gap"]).alias("start"), F.lit(kind).alias("kind"),
+            (at + i["gap"] + i["size"]).alias("end")))), lambda span: span.isNotNull())
+
+    # Most texts have matches, few have good ones.
+    return let(items, lambda x: F.when(F.exists(x, lambda i: i["good"]), all_of(x)).otherwise(
+        F.array().cast(SPAN)))
+
+
+def item(gap: Column, match: Column, good: Column) -> Column:
+    return F.struct(F.length(gap).alias("gap"), F.length(match).alias("size"), good.alias("good"))
+
+
+def spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
+    """Spans of a pattern's matches with ``least`` characters in ``group``, leftmost and
+    non-overlapping, in code points."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
-    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
-    steps = F.zip_with(F.arrays_zip(matches.alias("m"), values.alias("v")), gaps, lambda x, gap:
-                       F.struct(F.length(gap).alias("gap"), F.length(x["m"]).alias("size"),
-                                F.length(x["v"]).alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
+    gaps = F.split(text, pattern, -1)
+    return placed(let(matches, lambda m: F.zip_with(
+        F.arrays_zip(m.alias("m"), values.alias("v")), F.slice(gaps, 1, F.size(m)),
+        lambda x, gap: item(gap, x["m"], F.length(x["v"]) >= least))), kind)
+
+
+def token_spans(text: Column, good: Callable[[Column], Column], kind: int, assigned: Column) -> Column:
+    """Spans of the good tokens outside of assignments, which count only where ``assigned``."""
+    pattern, _, _ = BASE["assign"]
+    segments = F.when(assigned, F.split(text, pattern, -1)).otherwise(F.array(text))
+    after = F.when(assigned, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(
+        F.array().cast("array<string>"))
+
+    def of_segment(segment: Column, match: Column) -> Column:
+        tokens = F.transform(F.regexp_extract_all(segment, F.lit(TOKEN), F.lit(0)), lambda t: F.struct(
+            t.alias("t"), good(t).alias("good")))
+        end = F.struct(F.coalesce(match, F.lit("")).alias("t"), F.lit(False).alias("good"))
+        return F.zip_with(F.concat(tokens, F.array(end)), F.split(segment, TOKEN, -1),
+                          lambda x, gap: item(gap, x["t"], x["good"]))
 
-    def step(done: Column, x: Column) -> Column:
-        begin = done["at"] + x["gap"]
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"),
-                        (begin + x["size"]).alias("end"))
-        return F.struct((begin + x["size"]).alias("at"), F.when(
-            x["value"] >= least, F.concat(done["found"], F.array(span))).otherwise(done["found"])
-            .alias("found"))
+    return placed(F.flatten(F.zip_with(segments, after, of_segment)), kind)
 
-    return F.aggregate(steps, start, step, lambda done: done["found"])
+
+def may_assign() -> Column:
+    lower = F.lower(F.coalesce(F.col("text"), F.lit("")))
+    return reduce(or_, [lower.contains(w) for w in ASSIGN_WORDS])
 
 
 def with_base_spans(docs: DataFrame) -> DataFrame:
     """Add ``base_found``, the base patterns' spans by start and then kind, and ``_long``, whether
     the text holds any long token."""
-    text, lower = F.coalesce(F.col("text"), F.lit("")), F.lower(F.col("text"))
+    text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast(SPAN)
-    first = {"assign": reduce(or_, [lower.contains(w) for w in ASSIGN_WORDS]),
-             "access": F.col("_long") & text.contains("AKIA"), "hex": F.col("_long")}
+    first = {"assign": may_assign(), "access": F.col("_long") & text.contains("AKIA"), "hex": F.col("_long")}
     found = [F.when(first[name], spans(text, pattern, kind, group, least)).otherwise(none)
              for kind, (name, (pattern, group, least)) in enumerate(BASE.items())]
     return (docs.withColumn("_long", F.coalesce(F.regexp_like("text", F.lit(TOKEN)), F.lit(False)))
@@ -169,29 +225,43 @@ def joined(found: Column) -> Column:
 def with_secret_spans(docs: DataFrame, model: MarkovModel) -> DataFrame:
     """Add ``base_found`` and ``all_found``: arrays of start, kind (index into KINDS), end.
 
-    Base spans always stay; a token that overlaps one is not scored. A null text is empty. One pass
-    without a shuffle; rows and other columns pass unchanged, columns of these names are replaced.
+    Base spans always stay; tokens are looked for outside of assignments, and one that holds another
+    base match is not scored. A null or empty text has none. Texts of any length are scanned whole, in
+    time that is in proportion to it. One pass without a shuffle; rows, repeated or not, and other
+    columns pass unchanged, columns of these names are replaced; an empty table stays empty.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    token = len(BASE)
-    scored = F.filter(spans(text, TOKEN, token), lambda s: (
-        ~F.exists("base_found", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        & (model.score(F.substring(text, s["start"] + 1, s["end"] - s["start"])) > model.threshold)))
+
+    def random(token: Column) -> Column:
+        return ~token.rlike(MATCHED) & (model.score(token) > model.threshold)
+
+    scored = token_spans(text, random, len(BASE), may_assign())
     extra = F.when(F.col("_long"), scored).otherwise(F.array().cast(SPAN))
     return (with_base_spans(docs.drop("_long", "base_found", "all_found"))
             .withColumn("all_found", F.array_sort(F.concat("base_found", extra))).drop("_long"))
 
 
-def redacted(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every found span, overlapping ones as one, replaced by a mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(done: Column, s: Column) -> Column:
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.when(s["start"] < done["at"], done["out"]).otherwise(F.concat(
-                done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]),
-                F.lit(mark))).alias("out"))
-
-    return F.aggregate(found, start, step, lambda done: F.concat(
-        done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+def redacted(text: Column, found: Column, mark: str = "[SECRET]", block: int = 256) -> Column:
+    """The text with every found span, overlapping ones as one, replaced by a mark.
+
+    The text is cut to blocks first, since a substring is counted from the front of what it is taken
+    from."""
+    def piece(blocks: Column, begin: Column, end: Column) -> Column:
+        first, last = F.floor(begin / block).cast("int"), F.floor((end - 1) / block).cast("int")
+        head = F.substring(F.get(blocks, first), begin % block + 1, F.least(F.lit(block), end - begin))
+        tail = F.substring(F.get(blocks, last), F.lit(1), (end - 1) % block + 1)
+        middle = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        return F.when(begin >= end, "").when(first == last, head).otherwise(
+            F.concat(head, middle, tail))
+
+    def pieces(blocks: Column, spans_: Column, before: Column) -> Column:
+        kept = F.zip_with(spans_, before, lambda s, done: F.when(s["start"] < done, "").otherwise(
+            F.concat(piece(blocks, done, s["start"]), F.lit(mark))))
+        end = F.greatest(F.element_at(before, -1), F.element_at(spans_, -1)["end"])
+        return F.concat(F.array_join(kept, ""), piece(blocks, end, F.length(text)))
+
+    ends = F.transform(found, lambda s: s["end"])
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
+    return F.when(F.size(found) == 0, text).otherwise(let(
+        F.struct(cut.alias("blocks"), running(ends, lambda a, b: F.greatest(a, b)).alias("before")),
+        lambda x: pieces(x["blocks"], found, x["before"])))

@@ -1,8 +1,11 @@
+import hashlib
 import random
 import re
 import string
+import time
 
 from conftest import SF
+from pyspark.sql import functions as F
 
 from gaugeline.llm import secret_scan as op
 from gaugeline.llm.queries import QUERIES
@@ -104,3 +107,77 @@ def test_own_training_finds_tokens_of_16_characters(spark, documents):
            for r in op.with_secret_spans(df, model).collect()}
     assert [t for t in clean if got[t]] == []
     assert [t for t in secrets if got[t] != [(2, 3, 2 + len(t))]] == []
+
+
+def timed(make):
+    begin = time.perf_counter()
+    return make(), time.perf_counter() - begin
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    rng = random.Random(8)
+    model = op.train(spark.createDataFrame(
+        [("".join(rng.choices(string.ascii_letters + string.digits, k=32)), True) for _ in range(300)]
+        + [(w * 4, False) for w in ("configuration", "national", "station", "repository")],
+        "value string, label boolean"))
+    random_ = ["".join(rng.choices(string.ascii_letters + string.digits, k=20)) for _ in range(50_000)]
+    plain = ["configurationnationalstation"] * 50_000
+    assigned = [f"é token={t[:8]}" for t in random_]
+    hexes = [t.encode().hex() for t in random_]
+    for words, kinds in ((plain, set()), (random_, {3}), (assigned, {0}), (hexes, {2})):
+        text = "\n".join(words)
+        df = spark.createDataFrame([(text,)], "text string")
+        found = op.with_secret_spans(df, model)
+        row, seconds = timed(lambda: found.select(
+            "all_found", op.redacted(F.col("text"), F.col("all_found")).alias("out")).first())
+        spans_ = spans(row["all_found"])
+        assert {kind for _, kind, _ in spans_} == kinds
+        assert [s for s in spans_ if s[1] < 3] == brute(text)
+        assert kinds != {3} or len(spans_) > 48_000
+        assert row["out"] == replaced(text, spans_)
+        assert seconds < 10
+
+
+def replaced(text, found):
+    out, at = [], 0
+    for start, _, end in found:
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_redacted_as_brute_force(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(60):
+        text = "".join(rng.choices("ab\n é\U0001F600", k=rng.choice([0, 5, 300, 900])))
+        spots = sorted((a := rng.randrange(len(text) + 1), rng.randrange(4),
+                        min(len(text), a + rng.choice([1, 9, 280]))) for _ in range(rng.randrange(8)))
+        rows.append((text, [s for s in spots if s[0] < s[2]]))
+    df = spark.createDataFrame(rows, f"text string, found {op.SPAN}")
+    got = df.select("text", "found", op.redacted(F.col("text"), F.col("found")).alias("out")).collect()
+    for r in got:
+        assert r["out"] == replaced(r["text"], spans(r["found"]))
+
+
+def test_query_columns_as_brute_force(spark, documents):
+    """The digests that the query returns, of base spans and of all spans."""
+    model = op.train(op.pattern_labelled(documents.select("doc_id", "text")))
+    texts = dict(documents.select("doc_id", "text").collect())
+    tokens = sorted({t for x in texts.values() for t in re.findall(op.TOKEN, x or "")})
+    scores = dict(spark.createDataFrame([(t,) for t in tokens], "t string").select(
+        "t", model.score(F.col("t"))).collect()) if tokens else {}
+    for r in QUERIES["op2_secret_scan"](spark, SF).collect():
+        text = texts[r["doc_id"]] or ""
+        base = brute(text)
+        inside = [m.span() for m in re.finditer(PATTERNS[0][0], text)]
+        extra = [(m.start(), 3, m.end()) for m in re.finditer(op.TOKEN, text)
+                 if not any(a < m.end() and m.start() < b for a, b in inside)
+                 and not re.search(op.MATCHED, m[0]) and scores[m[0]] > model.threshold]
+
+        def named(found):
+            return ",".join(f"{op.KINDS[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+        assert r["base_sha256"] == hashlib.sha256(named(base).encode()).hexdigest()
+        assert r["spans"] == named(base + extra)
