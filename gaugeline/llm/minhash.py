@@ -2,10 +2,12 @@
 
 Documents with equal shingle sets are one class from the start, so copies are never compared. Of
 each bucket of a band only links to its most central class are tried at first, the one that meets
-most others in all its buckets, and one link per class: that shared in most bands. Once components are known, buckets that hold more than one component are
-looked at again, across components only. A component of many classes is compared with the outsiders
-it shares buckets with in blocks of bounded size, which give links, not pairs. Every link is
-confirmed on full shingle sets.
+most others in all its buckets, and one link per class: that shared in most bands. Once components
+are known, buckets that hold more than one component are looked at again, across components only and
+in blocks of bounded size, where sizes and signatures are compared on the spot; what leaves a block
+is likely links, each from the first bucket that both classes share. A component of many classes is
+compared with the outsiders it shares buckets with in blocks that give confirmed links. Every link
+is confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -119,13 +121,17 @@ def set_task(batches, words: int, ids: HashFilter) -> Iterator[pa.RecordBatch]:
                  pa.array([s.view(np.int64) for s in sets], SET[2].type)], schema=SET)
 
 
+def agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Similarity of signatures of one byte per minimum, of which 1 in 256 agrees by chance."""
+    return ((left == right).mean(axis=-1) - 1 / 256) / (1 - 1 / 256)
+
+
 @F.pandas_udf(DoubleType())
 def estimated_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """From signatures of one byte per minimum, of which 1 in 256 agrees by chance."""
     if a.empty:
         return pd.Series([], dtype=float)
     left, right = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (a, b))
-    return pd.Series(((left == right).mean(axis=1) - 1 / 256) / (1 - 1 / 256))
+    return pd.Series(agreement(left, right))
 
 
 @dataclass
@@ -158,6 +164,44 @@ class Verifier:
                 .where(100 * shared >= self.percent * union).select("a", "b").distinct())
 
 
+def likely_links(group: pa.Table, percent: int, slack: float) -> pa.Table:
+    """Likely links between components in a block of a bucket, or between two blocks of it."""
+    bucket = group["bucket"][0].as_py()
+    first, second = group["row"][0].as_py(), group["column"][0].as_py()
+    ids, component, size, own = (group[c].to_numpy() for c in ("id", "component", "size", "own"))
+    signatures = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(len(ids), -1)
+    buckets = np.array(group["buckets"].to_pylist())
+    found: list[tuple] = []
+    for k in np.flatnonzero(own == first):
+        other = component > component[k] if first == second else component != component[k]
+        other &= (own == second) & (ids != ids[k])
+        other &= 100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k])
+        at = np.flatnonzero(other)
+        at = at[agreement(signatures[at], signatures[k]) >= percent / 100 - slack]
+        for m in at.tolist():
+            shared = np.intersect1d(buckets[k], buckets[m])
+            if len(shared) and shared[0] == bucket:
+                found.append((ids[k], ids[m]))
+    return pa.table([pa.array(c, pa.int64()) for c in (zip(*found) if found else ((), ()))],
+                    schema=LINK)
+
+
+def likely_across(open_: DataFrame, classes: DataFrame, percent: int, slack: float,
+                  block: int) -> DataFrame:
+    """Likely links (a, b) between the components that share a bucket of ``open_``; rows of a bucket
+    go to tasks in blocks of ``block`` on average."""
+    blocks = open_.groupBy("bucket").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    dealt = (open_.select("bucket", "id", "component").join(blocks, "bucket")
+             .withColumn("own", own)
+             .withColumn("facing", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("bucket", "id", "component", "own", F.least("own", "facing").alias("row"),
+                     F.greatest("own", "facing").alias("column")))
+    return (dealt.join(classes.select("id", "size", "signature", "buckets"), "id")
+            .groupBy("bucket", "row", "column")
+            .applyInArrow(lambda group: likely_links(group, percent, slack), from_arrow_schema(LINK)))
+
+
 def block_links(group: pa.Table, percent: int) -> pa.Table:
     """Links between a block of a component's members and a block of outsiders."""
     own = group["own"].to_numpy(zero_copy_only=False)
@@ -213,7 +257,8 @@ def large_component_links(open_: DataFrame, sets: DataFrame, percent: int,
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
-                    bands: Bands = Bands(), block: int = 128) -> DataFrame:
+                    bands: Bands = Bands(), block: int = 128,
+                    bucket_block: int = 512) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Documents with 100 * |A & B| >= percent * |A | B| are linked, A and B their sets of distinct
@@ -266,10 +311,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     members = placed.groupBy("component").agg(F.count_distinct("id").alias("members"))
     open_ = store(placed.join(mixed, "bucket").join(members, "component"), "open")
     few = open_.where(F.col("members") <= block)
-    right = few.select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
-    across = store(few.select("bucket", F.col("id").alias("a"), "component").join(right, "bucket")
-                   .where((F.col("component") < F.col("other")) & (F.col("a") != F.col("b")))
-                   .select("a", "b").distinct(), "across")
+    across = store(likely_across(few, classes, percent, verify.slack, bucket_block).distinct(), "across")
     late = verify.links(across).unionByName(
         large_component_links(open_, sets, percent, block))
     copies = (linkable.join(classes.select("key", F.col("id").alias("b")), "key")

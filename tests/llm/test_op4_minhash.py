@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pytest
 from conftest import SPACED, lower_ascii
 
 from gaugeline.llm import components, minhash
@@ -60,6 +61,24 @@ def test_chains_of_edits_and_shared_ids(spark, rows_of):
     assert {r[2] for r in got} == {1}
 
 
+@pytest.mark.parametrize("blocks", [{}, {"block": 3, "bucket_block": 8}, {"bucket_block": 5}])
+def test_groups_of_edited_copies_in_blocks(spark, rows_of, blocks):
+    """Groups whose members are near the threshold from each other, so that components meet again."""
+    rng = random.Random(6)
+    rows = []
+    for group in range(3):
+        base = rows_of(20 + group, 60).split()
+        for k in range(70):
+            text = list(base)
+            for at in rng.sample(range(60), rng.randint(2, 5)):
+                text[at] = f"new{rng.randrange(10_000)}"
+            rows += [(group * 1_000 + k, " ".join(text))] * rng.choice([1, 1, 2])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, minhash.near_duplicates(df, words=2, **blocks).collect()), key=repr)
+    assert got == brute(rows, 2)
+    assert 3 < len({r[2] for r in got}) < 200
+
+
 def test_empty_table(documents):
     assert minhash.near_duplicates(documents.limit(0)).count() == 0
 
