@@ -10,9 +10,9 @@ windows found make up the maximal spans that are removed.
 
 The automata are sent to where their texts are, not to all tasks: together they grow with the
 corpus, and all tasks reading all of them would be quadratic. Runs that recur within an input batch
-are settled there and sent once. Windows of an anchor with very many occurrences are sent one by one
-under their own hash, so no shard holds more than ``HOT`` runs of an anchor, whatever a passage's
-share of the corpus.
+are settled there and sent once. Windows of an anchor with very many occurrences are sent one by one,
+as two hashes of all their words, and counted; so no shard holds more than ``HOT`` runs of an anchor,
+and a common line costs the same whatever surrounds it.
 """
 
 from __future__ import annotations
@@ -39,7 +39,8 @@ GATHERED = 64 << 20
 HASHES = WordHashes()
 ANCHORS = pa.schema([("hash", pa.int64()), ("times", pa.int64())])
 #: A run of windows for the shard of its anchor, without a place if it stands for several that are
-#: settled; or, without words, a settled span, sent along under its document's hash.
+#: settled; a window of a hot anchor, for the shard of its first hash, with its second for words; or,
+#: without words, a settled span, sent along under its document's hash.
 RUNS = pa.schema([("shard", pa.int64()), ("words", pa.binary()), ("h1", pa.int64()),
                   ("h2", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 SPANS = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("start", pa.int32()),
@@ -100,9 +101,20 @@ def anchor_task(batches, window: int) -> Iterator[pa.RecordBatch]:
                                              schema=ANCHORS)
 
 
+def window_hashes(grams: np.ndarray, window: int, prime: np.uint64) -> np.ndarray:
+    """Hash of all words of every window, from the grams that cover it."""
+    n = len(grams) - (window - GRAM)
+    out = grams[:n]
+    for at in [*range(GRAM, window - GRAM, GRAM), window - GRAM]:
+        mixed = out * prime
+        out = (mixed ^ (mixed >> np.uint64(29))) * PRIMES[1] + grams[at:at + n]
+    return out ^ (out >> np.uint64(32))
+
+
 def runs_of(words: np.ndarray, window: int, repeated: HashFilter,
-            hot: HashFilter) -> Iterator[tuple[int, int, int]]:
-    """(shard, first window, number of windows) of the windows that may be repeated."""
+            hot: HashFilter) -> Iterator[tuple[int, int, int, bytes | None]]:
+    """(shard, first window, number of windows, hash that stands for the words or None) of the
+    windows that may be repeated."""
     grams = gram_hashes(words)
     anchor = anchors(grams, window)
     maybe = repeated.maybe(anchor)
@@ -112,15 +124,16 @@ def runs_of(words: np.ndarray, window: int, repeated: HashFilter,
     begin = np.r_[0, change]
     size = np.diff(np.r_[begin, len(anchor)])
     is_hot = hot.maybe(anchor)
-    whole = None
+    first = second = None
     for b, n in zip(begin[maybe[begin]].tolist(), size[maybe[begin]].tolist()):
         if not is_hot[b]:
-            yield int(anchor[b].view(np.int64)), b, n
+            yield int(anchor[b].view(np.int64)), b, n, None
             continue
-        if whole is None:
-            whole = joined(grams, window - GRAM, PRIMES[4]).view(np.int64)
+        if first is None:
+            first = window_hashes(grams, window, PRIMES[4]).view(np.int64)
+            second = window_hashes(grams, window, PRIMES[2])
         for k in range(b, b + n):
-            yield int(whole[k]), k, 1
+            yield int(first[k]), k, 1, second[k].tobytes()
 
 
 def run_task(batches, window: int, repeated: HashFilter,
@@ -132,11 +145,12 @@ def run_task(batches, window: int, repeated: HashFilter,
             words = word_hashes(text.as_py())
             if len(words) < window:
                 continue
-            for shard, start, n in runs_of(words, window, repeated, hot):
+            for shard, start, n, digest in runs_of(words, window, repeated, hot):
                 end = start + n + window - 1
-                place = places.setdefault((shard, words[start:end].tobytes()), [])
+                content = digest or words[start:end].tobytes()
+                place = places.setdefault((shard, content), [])
                 place.append((h1, h2, start, end))
-                size += 32 if len(place) > 1 else 8 * (end - start)
+                size += 32 if len(place) > 1 else 64 + len(content)
             if size > GATHERED:
                 yield gathered(places)
                 places, size = {}, 0
@@ -239,12 +253,16 @@ def shard_spans(groups: list[dict[bytes, list]], window: int) -> Iterator[tuple]
 
     ``groups`` has, for each anchor, occurrences of each distinct run and whether it stands for
     settled ones. Runs that occur twice are repeated as a whole; a run alone with its anchor has no
-    other to match, but may repeat itself.
+    other to match, but may repeat itself. Windows sent as hashes are counted.
     """
     automaton, waiting = None, []
     for group in groups:
         alone = len(group) == 1
         for content, (places, weight) in group.items():
+            if len(content) == 8:
+                if weight >= 2:
+                    yield from ((h1, h2, start, start + window) for h1, h2, start in places)
+                continue
             size = len(content) // 8
             if weight >= 2:
                 for h1, h2, start in places:
