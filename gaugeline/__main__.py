@@ -47,6 +47,9 @@ def _parser() -> argparse.ArgumentParser:
     update.add_argument("--ledger-dir", required=True)
     update.add_argument("--start-date", type=_date, required=True)
     update.add_argument("--days", type=int, default=1)
+    take = jobs.add_parser("ledger-import")
+    take.add_argument("--ledger-dir", required=True)
+    take.add_argument("--document", required=True)
     return parser
 
 
@@ -71,6 +74,9 @@ def main(argv: list[str] | None = None) -> None:
         window = ledger.plan_window(spark, args.ledger_dir, args.raw_dir, args.days,
                                     args.input_date)
         result = {**window.__dict__}
+    elif args.job == "ledger-import":
+        ledger.import_document(spark, args.ledger_dir, args.document)
+        result = "imported"
     else:
         ledger.record_run(spark, args.ledger_dir, args.start_date, args.days)
         result = "recorded"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import CRITICAL, WARNING, health_score
 from gaugeline.operators.partials import Part, build_parts, mean_of, merge_parts, part_name
-from gaugeline.operators.transitions import health_hours, reading_counts
+from gaugeline.operators.transitions import health_hours_in_one_scan, reading_counts
 
 GRAIN_KEYS = {"daily": ("date",), "hourly": ("date", "hour")}
 _MACHINE = ("location_id", "hvac_machine_id")
@@ -71,7 +71,7 @@ def component_states(df: DataFrame, grain: str = "daily") -> DataFrame:
 def component_health(df: DataFrame, grain: str = "daily") -> DataFrame:
     if grain == "hourly":
         return component_states(df, grain)
-    return health_from_hours(health_hours(df), grain)
+    return health_from_hours(health_hours_in_one_scan(df), grain)
 
 
 # Energy -----------------------------------------------------------------------------------

@@ -128,3 +128,16 @@ def score_bands(scored: DataFrame, bands: Sequence[tuple[str, float]] = SCORE_BA
     for band, floor in sorted(bands, key=lambda b: b[1]):
         label = F.when(F.col(score) >= float(floor), band).otherwise(label)
     return scored.withColumn("score_band", label)
+
+
+def score_bands_of(scored: DataFrame, bands: DataFrame, score: str = "machine_health_score"
+                   ) -> DataFrame:
+    """:func:`score_bands` with the bands of a dictionary (band, floor); entries without floor are none.
+
+    The bands, a few rows of configuration, come as one value that every task looks its scores up in.
+    """
+    floors = (bands.where(F.col("floor").isNotNull())
+              .agg(F.sort_array(F.collect_list(F.struct("floor", "band"))).alias("all")).scalar())
+    reached = F.filter("_bands", lambda b: b["floor"] <= F.col(score))
+    return (scored.withColumn("_bands", floors)
+            .withColumn("score_band", F.try_element_at(reached, F.lit(-1))["band"]).drop("_bands"))

@@ -8,26 +8,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Layout of raw paths and month folder names.
-RAW_PATH = r"location_[^/]*/([0-9]{4})/([A-Za-z]+)/day([0-9]{1,2})(?:/|$)"
+RAW_PATH = r"location_[^/]*/([0-9]{4}/[A-Za-z]+/day[0-9]{1,2})(?:/|$)"
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
           "october", "november", "december")
 # End of fixed values.
 
 
 def discover_dates(paths: DataFrame, column: str = "path") -> DataFrame:
-    """Distinct dates named by raw paths; other folders and impossible dates are skipped."""
-    year, name, day = (F.regexp_extract(column, RAW_PATH, k) for k in (1, 2, 3))
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(name))
-    date = F.concat_ws("-", year, month.cast("string"), day).try_cast("date")
-    return paths.select(date.alias("date")).filter("date IS NOT NULL").distinct()
+    """Distinct dates named by raw paths; other folders and impossible dates are skipped.
 
+    A path is only cut to its folder of a day; the few distinct folders are read as dates.
+    """
+    folders = (paths.select(F.regexp_extract(column, RAW_PATH, 1).alias("folder"))
+               .groupBy("folder").agg(F.max("folder").alias("named")))
+    part = F.split("named", "/")
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.get(part, F.lit(1))))
+    date = F.concat_ws("-", F.get(part, F.lit(0)), month.cast("string"),
+                       F.substring(F.get(part, F.lit(2)), 4, 2)).try_cast("date")
+    return folders.select(date.alias("date")).filter("date IS NOT NULL").distinct()
 
-def reconcile(ledger: DataFrame | None, discovered: DataFrame) -> DataFrame:
-    """Ledger dates plus the discovered ones it lacks; without a ledger, just the discovered."""
-    found = discovered.select("date").distinct()
-    if ledger is None:
-        return found
-    return ledger.select("date").union(found).distinct()
+
+def history_dates(runs: DataFrame) -> DataFrame:
+    """Distinct dates that recorded runs added."""
+    return runs.select(F.explode("dates_added").alias("date")).distinct()
+
+
+def reconcile(ledger: DataFrame | None, discovered: DataFrame, runs: DataFrame | None = None
+              ) -> DataFrame:
+    """Ledger dates plus the discovered ones it lacks, and those its runs added; without a ledger,
+    just the discovered."""
+    found = discovered.select("date")
+    if ledger is not None:
+        found = ledger.select("date").union(found)
+    if runs is not None:
+        found = found.union(history_dates(runs))
+    return found.distinct()
 
 
 def ledger_state(dates: DataFrame) -> DataFrame:
@@ -39,7 +54,8 @@ def ledger_state(dates: DataFrame) -> DataFrame:
 def reconstruction_note(discovered: DataFrame) -> DataFrame:
     """History row for a ledger rebuilt from raw paths; none when nothing was found."""
     return (discovered.agg(F.min("date").alias("start"), F.max("date").alias("end"),
-                           F.count_distinct("date").alias("days"))
+                           F.count_distinct("date").alias("days"),
+                           F.array_sort(F.collect_set("date")).alias("dates_added"))
             .filter("days > 0")
             .withColumns({"recorded_at": F.lit(None).cast("timestamp"),
                           "note": F.lit("reconstructed from raw paths")}))
@@ -75,10 +91,20 @@ def run_dates(spark: SparkSession, start: dt.date, days: int) -> DataFrame:
     return expand(request)
 
 
+def with_dates_added(runs: DataFrame) -> DataFrame:
+    """Runs (start, days, ...) with the array of their dates."""
+    last = F.date_add("start", (F.col("days") - 1).cast("int"))
+    none = F.array().cast("array<date>")
+    return runs.withColumn("dates_added", F.when(F.col("days") > 0, F.sequence("start", last))
+                           .otherwise(none))
+
+
 def record_run(ledger: DataFrame | None, runs: DataFrame | None, run: DataFrame
                ) -> tuple[DataFrame, DataFrame]:
-    """Ledger and history after a run given as one (start, end, days, recorded_at, note) row."""
-    dates = expand(run.select("start", "days"))
+    """Ledger and history after runs given as (start, end, days, recorded_at, note) rows; the history
+    also lists the dates of each."""
+    run = with_dates_added(run)
+    dates = history_dates(run)
     dates = dates if ledger is None else ledger.select("date").union(dates).distinct()
     history = run if runs is None else runs.unionByName(run, allowMissingColumns=True)
     return dates, history

@@ -86,6 +86,14 @@ def with_event_date(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     return df.withColumns({ts: millis, "date": date_of(millis)})
 
 
+def _foreign_fields(component: str) -> set[str]:
+    """Fields, in either spelling, that belong only to other components."""
+    own = set(schemas.component_fields(component))
+    foreign = {f for other in COMPONENTS if other != component
+               for f in schemas.component_fields(other)} - own
+    return (foreign | {snake_case(f) for f in foreign}) - {snake_case(f) for f in own}
+
+
 def route(df: DataFrame, components: Iterable[str] = COMPONENTS,
           type_column: str = "componentType") -> dict[str, DataFrame]:
     """One frame per component type; rows of any other type are left out.
@@ -94,16 +102,27 @@ def route(df: DataFrame, components: Iterable[str] = COMPONENTS,
     """
     routed = {}
     for component in components:
-        own = set(schemas.component_fields(component))
-        foreign = {f for other in COMPONENTS if other != component
-                   for f in schemas.component_fields(other)} - own
-        foreign |= {snake_case(f) for f in foreign}
-        own_names = own | {snake_case(f) for f in own}
-        keep = [c for c in df.columns if c in own_names or c not in foreign]
-        routed[component] = df.filter(F.col(type_column) == component).select(*keep)
+        foreign = _foreign_fields(component)
+        routed[component] = df.filter(F.col(type_column) == component).select(
+            *[c for c in df.columns if c not in foreign])
     return routed
 
 
+def route_in_place(df: DataFrame, components: Iterable[str] = COMPONENTS,
+                   type_column: str = "componentType") -> DataFrame:
+    """All components in one frame, each row without the fields that belong only to other components;
+    rows of any other type are left out. One pass, where :func:`route` reads its input once for each
+    frame that is used."""
+    foreign = {component: _foreign_fields(component) for component in components}
+
+    def kept(name: str) -> Column:
+        without = [c for c in components if name in foreign[c]]
+        value = F.when(~F.col(type_column).isin(without), F.col(name)) if without else F.col(name)
+        return value.alias(name)
+
+    return df.filter(F.col(type_column).isin(list(components))).select(*map(kept, df.columns))
+
+
 def snake_case_columns(df: DataFrame) -> DataFrame:
     renamed = {c: snake_case(c) for c in df.columns}
     return df.withColumnsRenamed({old: new for old, new in renamed.items() if old != new})

@@ -93,6 +93,11 @@ def _ordered_hours(df: DataFrame, mixed: DataFrame, bucket_ms: int) -> DataFrame
                        & bucket.eqNullSafe(F.col("_at")), "left_semi")
     points = readings.groupBy("component_id", "timestamp", *_OWNER).agg(
         *reading_counts(), F.max(faulty).alias("_some"), F.min(faulty).alias("_every"))
+    return _summed_hours(points, bucket_ms)
+
+
+def _summed_hours(points: DataFrame, bucket_ms: int) -> DataFrame:
+    """Summaries of the hours of a component from its instants."""
     return (_onsets(points, "component_id", "timestamp", _OWNER[2:], bucket_ms)
             .groupBy("component_id", "_bucket", *_OWNER).agg(
                 *[F.sum(c).alias(c) for c in _COUNTED[:3]], F.max("max_code").alias("max_code"),
@@ -110,8 +115,12 @@ def health_hours(df: DataFrame, bucket_ms: int = MS_PER_HOUR, spans: DataFrame |
     """
     spans = health_spans(df, bucket_ms) if spans is None else spans
     mixed = mixed_buckets(spans) if mixed is None else mixed
-    hours = spans.filter("_clear").drop("_clear").unionByName(
-        _ordered_hours(df, mixed, bucket_ms))
+    return _carried(spans.filter("_clear").drop("_clear").unionByName(
+        _ordered_hours(df, mixed, bucket_ms)))
+
+
+def _carried(hours: DataFrame) -> DataFrame:
+    """Events of each hour, an open one counted where the hours before did not close faulty."""
     # Exactly one row of a bucket carries its closing state; look at all earlier buckets.
     earlier = (Window.partitionBy("component_id").orderBy("_bucket")
                .rangeBetween(Window.unboundedPreceding, -1))
@@ -121,6 +130,21 @@ def health_hours(df: DataFrame, bucket_ms: int = MS_PER_HOUR, spans: DataFrame |
         *_OWNER, "component_id", *_COUNTED, "critical_event_count")
 
 
+def health_hours_in_one_scan(df: DataFrame, bucket_ms: int = MS_PER_HOUR) -> DataFrame:
+    """The result of :func:`health_hours` from one pass over the readings.
+
+    Readings of one instant are combined on the map side, so an hour of a component holds no more points
+    than it has milliseconds, whatever its share of the readings; those are put in order inside the hour.
+    An hour is then summed up by its onsets, whether it opens faulty, and the state it closes with, and
+    these summaries are merged over the hours before. To be preferred where reading the source again is
+    dear or most hours are mixed; :func:`health_hours` moves less where hours are steady.
+    """
+    faulty = is_faulty(F.col("health_status")).cast("int")
+    points = df.groupBy("component_id", "timestamp", *_OWNER).agg(
+        *reading_counts(), F.max(faulty).alias("_some"), F.min(faulty).alias("_every"))
+    return _carried(_summed_hours(points, bucket_ms))
+
+
 def with_new_event(df: DataFrame, key: str = "component_id", order: str = "timestamp",
                    row_id: str = "event_id", bucket_ms: int = MS_PER_HOUR) -> DataFrame:
     """Row-level form: adds ``is_faulty`` and ``is_new_event`` (0/1) to every reading.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.operators import ledger as ops
 from gaugeline.sources.raw import raw_paths
+from gaugeline.sources.reference_data import read_ledger_document
 from gaugeline.sources.storage import join_path
 from gaugeline.sources.tables import append, merge_insert, read_table
 
@@ -29,7 +30,8 @@ class Window:
 def sync_ledger(spark: SparkSession, ledger_dir: str, raw_dir: str | None) -> DataFrame:
     """Bring the ledger in line with the raw folders and return its dates.
 
-    A missing ledger is rebuilt with a history note; otherwise untracked dates are added.
+    A missing ledger is rebuilt with a history note; otherwise untracked dates are added. Dates that the
+    history lists are kept even if the table of dates has lost them.
     """
     dates_path, runs_path = join_path(ledger_dir, "dates"), join_path(ledger_dir, "runs")
     known = read_table(spark, dates_path)
@@ -40,8 +42,10 @@ def sync_ledger(spark: SparkSession, ledger_dir: str, raw_dir: str | None) -> Da
             note = ops.reconstruction_note(found)
             if not note.isEmpty():
                 append(note.select("start", "end", F.col("days").cast("int").alias("days"),
-                                   "recorded_at", "note").coalesce(1), runs_path)
-        merge_insert(ops.reconcile(None, found).coalesce(1), dates_path, ["date"])
+                                   "recorded_at", "note", "dates_added").coalesce(1), runs_path)
+        runs = read_table(spark, runs_path)
+        merge_insert(ops.reconcile(None, found, runs if runs and "dates_added" in runs.columns else None)
+                     .coalesce(1), dates_path, ["date"])
         known = read_table(spark, dates_path)
     return spark.createDataFrame([], "date date") if known is None else known
 
@@ -68,6 +72,15 @@ def record_run(spark: SparkSession, ledger_dir: str, start: dt.date, days: int,
     recorded_at = recorded_at or dt.datetime.now(dt.timezone.utc)
     run = spark.createDataFrame(
         [(start, start + dt.timedelta(days=days - 1), days, recorded_at, note)], _RUN)
-    new_dates, _ = ops.record_run(None, None, run)
-    merge_insert(new_dates.coalesce(1), join_path(ledger_dir, "dates"), ["date"])
-    append(run.coalesce(1), join_path(ledger_dir, "runs"))
+    _store(ledger_dir, *ops.record_run(None, None, run))
+
+
+def import_document(spark: SparkSession, ledger_dir: str, path: str) -> None:
+    """Take over a ledger kept as one JSON document: its dates and its history."""
+    dates, runs = read_ledger_document(spark, path, dates_added=True)
+    _store(ledger_dir, ops.reconcile(dates, ops.history_dates(runs)), runs)
+
+
+def _store(ledger_dir: str, dates: DataFrame, runs: DataFrame) -> None:
+    merge_insert(dates.coalesce(1), join_path(ledger_dir, "dates"), ["date"])
+    append(runs.coalesce(1), join_path(ledger_dir, "runs"))

@@ -33,8 +33,20 @@ def read_fault_codes(spark: SparkSession, path: str) -> DataFrame:
     return fault_entries(_read_document(spark, path, schemas.FAULT_DICTIONARY))
 
 
-def read_ledger_document(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(dates, runs) from a ledger kept as one JSON document."""
+def read_score_bands(spark: SparkSession, path: str) -> DataFrame:
+    """Score bands of the fault dictionary. An unreadable file raises."""
+    return score_bands(_read_document(spark, path, schemas.FAULT_DICTIONARY))
+
+
+def score_bands(dictionary: DataFrame) -> DataFrame:
+    """One row (band, floor, label) per entry of the ``health_score_thresholds`` map."""
+    return dictionary.select(F.explode("health_score_thresholds").alias("band", "entry")).select(
+        "band", F.col("entry")["min"].alias("floor"), F.col("entry")["label"].alias("label"))
+
+
+def read_ledger_document(spark: SparkSession, path: str, dates_added: bool = False
+                         ) -> tuple[DataFrame, DataFrame]:
+    """(dates, runs) from a ledger kept as one JSON document; with the dates of each run if asked."""
     document = _read_document(spark, path, schemas.LEDGER)
     dates = (document.select(F.explode("generated_dates").alias("date"))
              .select(F.try_to_timestamp("date", F.lit("yyyy-MM-dd")).cast("date").alias("date"))
@@ -43,5 +55,8 @@ def read_ledger_document(spark: SparkSession, path: str) -> tuple[DataFrame, Dat
     runs = document.select(F.explode("run_history").alias("run")).select(
         run["start"].try_cast("date").alias("start"), run["end"].try_cast("date").alias("end"),
         run["days"].cast("int").alias("days"),
-        run["timestamp"].try_cast("timestamp").alias("recorded_at"), run["note"].alias("note"))
+        run["timestamp"].try_cast("timestamp").alias("recorded_at"), run["note"].alias("note"),
+        *([F.filter(F.transform(F.coalesce(run["dates_added"], F.array().cast("array<string>")),
+                                lambda d: d.try_cast("date")), lambda d: d.isNotNull())
+           .alias("dates_added")] if dates_added else []))
     return dates, runs

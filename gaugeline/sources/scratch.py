@@ -6,6 +6,8 @@ and Spark knows the exact size of what it reads back, which is what its broadcas
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -15,11 +17,14 @@ from gaugeline.sources.storage import delete_tree, join_path
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names."""
+    """The shared folder the cluster names. A session of one machine that names none gets its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
+    if base:
+        return base
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return base
+    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gaugeline-"))
+    return spark.conf.get("spark.checkpoint.dir")
 
 
 class Scratch:

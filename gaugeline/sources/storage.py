@@ -33,6 +33,13 @@ def delete_tree(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def make_until_exit(spark: SparkSession, path: str) -> None:
+    """Make a folder that goes, with all in it, when the application ends."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, hadoop_path = _file_system(spark, path)
     if not fs.exists(hadoop_path):

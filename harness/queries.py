@@ -15,7 +15,7 @@ from gaugeline.operators import (dedup, derived, dimensions, facts, kpis, ledger
                                  registry, reshape, transitions)
 from gaugeline.operators.rules import RULES
 from gaugeline.plans.ingest import flatten_documents
-from gaugeline.sources.reference_data import fault_entries
+from gaugeline.sources.reference_data import fault_entries, score_bands
 from harness import telemetry as tm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,9 +105,9 @@ def raw_documents_flattened(spark, sf_dir):
            CASE WHEN u % 6 = 0 THEN count(v) END AS pressures
     FROM readings WHERE u % 6 < 4 GROUP BY u % 6""")
 def components_routed(spark, sf_dir):
-    """Rows per component table; unknown component types fall away."""
-    frames = reshape.route(flatten_documents(parsed(spark, sf_dir, types=6)))
-    return (reshape.union_components(frames).groupBy(F.col("componentType").alias("component_type"))
+    """Rows per component, without the fields of others; unknown component types fall away."""
+    rows = reshape.route_in_place(flatten_documents(parsed(spark, sf_dir, types=6)))
+    return (rows.groupBy(F.col("componentType").alias("component_type"))
             .agg(F.count("*").alias("readings"),
                  F.when(F.col("component_type") == "compressor", F.count("dischargePressureKpa"))
                  .alias("pressures")))
@@ -438,6 +438,23 @@ def machine_score_bands(spark, sf_dir):
     return dated(kpis.score_bands(_machines(spark, sf_dir)))
 
 
+@query(_KPI + """SELECT CAST(date AS VARCHAR) AS date, location_id, hvac_machine_id,
+      machine_health_score, arg_max(lower(r_name), r_regionkey) AS score_band
+    FROM scored JOIN region ON r_regionkey * 15 + 40 <= machine_health_score
+    GROUP BY date, location_id, hvac_machine_id, machine_health_score
+    UNION ALL SELECT CAST(date AS VARCHAR), location_id, hvac_machine_id, machine_health_score, NULL
+    FROM scored WHERE machine_health_score < 40""")
+def machine_score_bands_of_dictionary(spark, sf_dir):
+    """Labels by the bands of a fault dictionary, here one named after the regions."""
+    entry = F.expr("named_struct('min', r_regionkey * 15 + 40, 'label', r_name)")
+    document = tm.load(spark, sf_dir, "region").select(F.to_json(F.struct(F.create_map(
+        F.lower("r_name"), entry).alias("health_score_thresholds"))).alias("doc"))
+    bands = score_bands(document.select(F.from_json("doc", schemas.FAULT_DICTIONARY).alias("d"))
+                        .select("d.*"))
+    return dated(kpis.score_bands_of(_machines(spark, sf_dir), bands)).select(
+        "date", "location_id", "hvac_machine_id", "machine_health_score", "score_band")
+
+
 @query(_KPI + """, presence AS (SELECT date, count(DISTINCT location_id) AS total_locations,
       count(DISTINCT hvac_machine_id) AS total_machines FROM telemetry GROUP BY date),
     energy AS (SELECT date, sum(kwh) AS e FROM power GROUP BY date),
@@ -664,7 +681,8 @@ def _ledger(spark, sf_dir) -> DataFrame:
 
 def _requests(spark, sf_dir) -> DataFrame:
     return tm.load(spark, sf_dir, "orders").select(
-        F.col("o_orderdate").cast("date").alias("start"), (1 + F.col("o_custkey") % 3).alias("days"))
+        F.col("o_orderdate").cast("date").alias("start"), (1 + F.col("o_custkey") % 3).alias("days"),
+        "o_orderstatus")
 
 
 @query(f"WITH {_SHIPPED} SELECT {DAY} FROM shipped")
@@ -717,6 +735,18 @@ def ledger_run_recorded(spark, sf_dir):
                                           F.max("start").alias("latest"))))
 
 
+@query("""SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS "start", o_orderstatus AS note,
+      array_to_string(list_transform(range(0, 1 + o_custkey % 3), lambda i:
+        CAST(CAST(o_orderdate AS DATE) + CAST(i AS INT) AS VARCHAR)), ',') AS dates_added
+    FROM orders""")
+def ledger_history_recorded(spark, sf_dir):
+    """The whole history rows of the same runs, each with the dates it added."""
+    runs = _requests(spark, sf_dir).withColumn("note", F.col("o_orderstatus"))
+    _, history = ledger.record_run(None, None, runs.drop("o_orderstatus"))
+    return dated(history.select("start", "note", F.array_join(
+        F.transform("dates_added", lambda d: d.cast("string")), ",").alias("dates_added")))
+
+
 # Fleet registry ------------------------------------------------------------------------------
 
 def _registry(spark, sf_dir) -> DataFrame:
@@ -825,3 +855,6 @@ def expansion_valve_derived_columns(spark, sf_dir):
         "valve_status", F.when(F.col("health_status") == "Healthy", "ACTIVE").otherwise("INACTIVE"))
     return derived.expansion_valve_derived(rows).select(
         "event_id", "is_active", "superheat_deviation_c", "is_faulted")
+
+
+import harness.storage_queries  # noqa: E402,F401  registers queries of stored layers

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeline.operators import kpis
 
@@ -92,3 +93,22 @@ def test_location_performance(spark):
     row = kpis.location_performance(machines(spark, [80.0, 100.0]), alerts, performance).first()
     assert (row["avg_health_score"], row["machines_count"]) == (90.0, 2)
     assert (row["total_fault_events"], row["avg_location_cop"]) == (2, pytest.approx(3.0))
+
+
+def test_bands_come_from_the_dictionary(spark, tmp_path):
+    import json
+
+    from gaugeline.sources.reference_data import read_score_bands
+    path = tmp_path / "codes.json"
+
+    def labels(**floors):
+        path.write_text(json.dumps({"codes": {}, "health_score_thresholds": {
+            band: {"min": floor, "label": band.title()} for band, floor in floors.items()}}))
+        scored = kpis.score_bands_of(machines(spark, [100.0, 90.0, 89.995, 40.0, 3.0]),
+                                     read_score_bands(spark, str(path)))
+        return [r["score_band"] for r in scored.orderBy(F.desc("machine_health_score")).collect()]
+
+    assert labels(healthy=90, needs_check=70, warning=40, critical=0) == [
+        "healthy", "healthy", "needs_check", "warning", "critical"]
+    assert labels(good=95, bad=50) == ["good", "bad", "bad", None, None]
+    assert labels(odd=None) == [None] * 5 and labels() == [None] * 5

@@ -126,3 +126,23 @@ def test_calendar(spark):
     assert (sunday["day_of_week"], sunday["is_weekend"]) == (1, True)
     assert (monday["day_of_week"], monday["is_weekend"], monday["quarter"]) == (2, False, 4)
     assert (saturday["day_of_week"], saturday["is_weekend"], saturday["year"]) == (7, True, 2025)
+
+
+def test_history_lists_the_dates_of_each_run(spark, tmp_path):
+    from gaugeline.plans import ledger as plan
+    from gaugeline.sources.tables import read_table
+    document = tmp_path / "ledger.json"
+    document.write_text(json.dumps({
+        "latest_date": "2025-01-02", "generated_dates": ["2025-01-01"], "run_history": [
+            {"start": "2025-01-01", "end": "2025-01-02", "days": 2, "dates_added": ["2025-01-02", "x"]},
+            {"start": "2025-01-09", "end": "2025-01-09", "days": 1}]}))
+    where = str(tmp_path / "ledger")
+    plan.import_document(spark, where, str(document))
+    plan.record_run(spark, where, d("2025-02-28"), 2)
+    runs = {str(r["start"]): r["dates_added"] for r in read_table(spark, f"{where}/runs").collect()}
+    assert runs == {"2025-01-01": [d("2025-01-02")], "2025-01-09": [],
+                    "2025-02-28": [d("2025-02-28"), d("2025-03-01")]}
+    assert values(read_table(spark, f"{where}/dates")) == ["2025-01-01", "2025-01-02", "2025-02-28",
+                                                           "2025-03-01"]
+    known = ledger.reconcile(None, dates(spark, "2025-05-05"), read_table(spark, f"{where}/runs"))
+    assert values(known) == ["2025-01-02", "2025-02-28", "2025-03-01", "2025-05-05"]

@@ -136,3 +136,18 @@ def test_codes_and_flags_as_text(spark):
     rows = flatten_documents(documents(spark, docs)).orderBy("eventId").collect()
     assert [(r["healthActiveFaultCode"], r["healthMaintenanceFlag"], r["runStatus"]) for r in rows] \
         == [(288.0, True, 1), (None, False, None), (315.0, None, 1)]
+
+
+def test_route_in_place_is_route_in_one_frame(spark):
+    docs = [{"componentId": f"C{k}", "componentType": kind, "records": [
+        {"eventId": f"e{k}", "timestamp": "0", "rpm": "1", "fanSpeedRpm": "2", "voltageV": "3",
+         "valveOpeningPct": "4", "waterFlowRateGpm": "5"}]}
+        for k, kind in enumerate(("compressor", "condenser", "evaporator", "expansion_valve", "boiler"))]
+    flat = flatten_documents(documents(spark, docs))
+    together = reshape.route_in_place(flat)
+    assert together.columns == flat.columns and together.count() == 4
+    for kind, frame in reshape.route(flat).items():
+        own = together.filter(F.col("componentType") == kind)
+        assert own.select(*frame.columns).collect() == frame.collect()
+        gone = [c for c in flat.columns if c not in frame.columns]
+        assert all(v is None for v in own.select(*gone).first())

@@ -42,6 +42,7 @@ def check(spark, rows):
     flagged = transitions.with_new_event(df).filter("is_new_event = 1").collect()
     assert Counter((r["component_id"], r["timestamp"]) for r in flagged) == want
     hours = transitions.health_hours(df).collect()
+    assert sorted(map(str, transitions.health_hours_in_one_scan(df).collect())) == sorted(map(str, hours))
     got = Counter()
     for r in hours:
         got[r["component_id"], str(r["date"]), r["hour"]] += r["critical_event_count"]
@@ -150,3 +151,11 @@ def test_fault_codes(spark):
     assert "critical_event_count" not in row.asDict()
     quiet = facts.component_health(telemetry(spark, [("c", 1, "Healthy")])).first()
     assert (quiet["critical_reading_code"], quiet["health_score_pct"]) == (0, 100.0)
+
+
+def test_health_in_one_scan(spark, tmp_path):
+    path = str(tmp_path / "readings")
+    telemetry(spark, [("c", i * 300_000, "Healthy" if i % 5 else "Critical") for i in range(50)]
+              ).write.parquet(path)
+    plan = facts.component_health(spark.read.parquet(path))._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("FileScan") == 1
