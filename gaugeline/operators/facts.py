@@ -115,14 +115,17 @@ def alert_parts(df: DataFrame, grain: str = "hourly") -> DataFrame:
     Keeping the code as a key makes distinct counts mergeable: a coarser grain groups by code
     again and counts rows. Codes that are missing, not positive or NaN share the NULL code.
     """
-    code = F.col("health_active_fault_code").cast("double")
-    usable = F.when((code > 0) & ~F.isnan(code), code)
-    coded = df.withColumn("fault_code", usable)
+    coded = df.withColumn("fault_code", _usable_code())
     return coded.groupBy(*_keys(grain, _MACHINE), "fault_code").agg(
         F.count_if(F.col("health_status") == CRITICAL).alias("sum__critical"),
         F.count_if(F.col("health_status") == WARNING).alias("sum__warning"))
 
 
+def _usable_code() -> Column:
+    code = F.col("health_active_fault_code").cast("double")
+    return F.when((code > 0) & ~F.isnan(code), code)
+
+
 def alerts_from_parts(parts: DataFrame, grain: str = "daily") -> DataFrame:
     keys = _keys(grain, _MACHINE)
     per_code = merge_parts(parts, [*keys, "fault_code"])
@@ -198,3 +201,20 @@ def component_parts(df: DataFrame, component: str) -> DataFrame:
     if component == "compressor":
         parts += [*PERFORMANCE_PARTS, ("max", "run_status")]
     return build_parts(with_power_time(df), PART_KEYS, parts)
+
+
+def kpi_parts(df: DataFrame) -> DataFrame:
+    """Hourly partial aggregates of all components for the KPIs, from one pass over the readings.
+
+    The fault code is a key beside those of the hour, so that distinct codes, reading counts, energy, cop
+    and running state all merge from the same rows: :func:`alerts_from_parts`,
+    :func:`energy_from_parts`, :func:`performance_from_parts` and the KPIs take them as they are.
+    """
+    status = F.col("health_status")
+    rows = with_power_time(df).withColumns({
+        "fault_code": _usable_code(), "reading": F.when(F.col("timestamp").isNotNull(), 1),
+        "critical": (status == CRITICAL).cast("int"), "warning": (status == WARNING).cast("int")})
+    counted = [("sum", c) for c in ("reading", "critical", "warning")]
+    parts = build_parts(rows, [*PART_KEYS, "fault_code"],
+                        [*counted, *ENERGY_PARTS, *PERFORMANCE_PARTS, ("max", "run_status")])
+    return parts.fillna(0, [part_name(*c) for c in counted])

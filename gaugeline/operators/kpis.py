@@ -55,6 +55,14 @@ def machine_health(health_daily: DataFrame) -> DataFrame:
         F.col("total_readings"), F.col("critical_readings"), F.col("warning_readings")))
 
 
+def machine_health_from_parts(parts: DataFrame) -> DataFrame:
+    """From the output of :func:`facts.kpi_parts`."""
+    return machine_health(parts.withColumnsRenamed({
+        part_name("sum", "reading"): "total_readings",
+        part_name("sum", "critical"): "critical_readings",
+        part_name("sum", "warning"): "warning_readings"}))
+
+
 def fleet_bands(machines: DataFrame) -> DataFrame:
     score = F.col("machine_health_score")
     return machines.groupBy("date").agg(

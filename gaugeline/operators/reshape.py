@@ -61,6 +61,8 @@ def flatten_device_document(df: DataFrame) -> DataFrame:
     prefixed = {"location": "location", "component": "component", "health": "health"}
     out: list[Column] = [F.col("eventId").alias("event_id"), F.col("timestamp"),
                          F.col("dataQuality").alias("data_quality")]
+    if "schemaVersion" in df.columns:
+        out.append(F.col("schemaVersion").alias("schema_version"))
     for group in schemas.DEVICE_GROUPS:
         if group not in df.columns:
             continue

@@ -132,6 +132,7 @@ DEVICE_GROUPS = {
 }
 # End of fixed values.
 
+# Members of the topology, fault dictionary and ledger documents.
 TOPOLOGY = {
     "customers": T.StructType([T.StructField(n, T.StringType()) for n in
                                ("companyId", "companyName", "industry", "accountType")]),
@@ -163,3 +164,4 @@ LEDGER = T.StructType([
         T.StructField("dates_added", T.ArrayType(T.StringType())),
         T.StructField("note", T.StringType())]))),
 ])
+# End of fixed values.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from gaugeline.operators.rules import RULES
 from gaugeline.plans.ingest import flatten_documents
 from gaugeline.sources.reference_data import fault_entries, score_bands
 from harness import telemetry as tm
+from harness.layers import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,24 +116,27 @@ def components_routed(spark, sf_dir):
 
 @query(f"""WITH {tm.base_sql()}
     SELECT 'E-' || e AS event_id, t AS timestamp, 'compressor' AS component_type,
-           'REALTIME' AS ingestion_mode, v AS oil_pressure_kpa FROM base""")
+           'REALTIME' AS ingestion_mode, v AS oil_pressure_kpa,
+           CASE WHEN k <> 'view' THEN CAST(t AS VARCHAR) END AS event_timestamp FROM base""")
 def payload_documents_flattened(spark, sf_dir):
     """The single-reading variant of the raw document."""
     docs = tm._spark_base(spark, sf_dir).select(F.to_json(F.struct(
         F.lit("REALTIME").alias("ingestionMode"),
         F.struct(F.concat(F.lit("E-"), F.col("e").cast("string")).alias("eventId"),
-                 F.col("t").alias("timestamp"), F.lit("compressor").alias("componentType"),
+                 F.when(F.col("k") == "view", F.col("t")).alias("timestamp"),
+                 F.when(F.col("k") != "view", F.col("t")).alias("eventTimestamp"),
+                 F.lit("compressor").alias("componentType"),
                  F.col("v").cast("string").alias("oilPressureKpa")).alias("rawPayload")))
         .alias("doc"))
     flat = reshape.unwrap_payload(docs.select(
         F.from_json("doc", schemas.payload_schema()).alias("d")).select("d.*"))
     return reshape.snake_case_columns(reshape.with_event_date(flat)).select(
-        "event_id", "timestamp", "component_type", "ingestion_mode",
+        "event_id", "timestamp", "component_type", "ingestion_mode", "event_timestamp",
         F.col("oil_pressure_kpa").try_cast("double").alias("oil_pressure_kpa"))
 
 
 @query(f"""WITH {tm.base_sql()}
-    SELECT 'E-' || e AS event_id, 'expansion_valve' AS component_type, 'LOC-' || (m % 3)
+    SELECT 'E-' || e AS event_id, '1.' || (e % 4) AS schema_version, 'expansion_valve' AS component_type, 'LOC-' || (m % 3)
            AS location_id, 'B' AS location_building, k AS health_active_fault_code,
            v AS inlet_pressure_kpa, v AS refrigerant_flow_rate_kg_min FROM base""")
 def device_documents_flattened(spark, sf_dir):
@@ -140,6 +144,7 @@ def device_documents_flattened(spark, sf_dir):
     text = F.concat(F.lit("E-"), F.col("e").cast("string"))
     docs = tm._spark_base(spark, sf_dir).select(
         text.alias("eventId"), F.col("t").alias("timestamp"), F.lit("GOOD").alias("dataQuality"),
+        F.concat(F.lit("1."), (F.col("e") % 4).cast("string")).alias("schemaVersion"),
         F.struct(F.concat(F.lit("LOC-"), (F.col("m") % 3).cast("string")).alias("locationId"),
                  F.lit("B").alias("building")).alias("location"),
         F.struct(F.lit("expansionValve").alias("componentType")).alias("component"),
@@ -148,7 +153,7 @@ def device_documents_flattened(spark, sf_dir):
         F.struct(F.col("v").alias("inletPressure_kPa"),
                  F.col("v").alias("refrigerantFlowRate_kg_min")).alias("telemetry"))
     return reshape.flatten_device_document(docs).select(
-        "event_id", "component_type", "location_id", "location_building",
+        "event_id", "schema_version", "component_type", "location_id", "location_building",
         "health_active_fault_code", "inlet_pressure_kpa", "refrigerant_flow_rate_kg_min")
 
 
@@ -205,13 +210,13 @@ def components_united(spark, sf_dir):
 
 # Quality gate --------------------------------------------------------------------------------
 
-def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All four components through their gate, on the columns they share."""
+def checked(spark: SparkSession, sf_dir: str, kinds: Sequence[str] = tm.TYPES) -> DataFrame:
+    """Components through their gate, on the columns they share."""
     shared = ["event_id", "timestamp", "component_type", "component_id", "location_id",
               "health_status", "data_quality", "is_valid", "failure_reason"]
     return reshape.union_components({
         c: quality.apply_quality_rules(tm.dirty(spark, sf_dir, c), RULES[c], tm.NOW_MS)
-        .select(*shared) for c in tm.TYPES})
+        .select(*shared) for c in kinds})
 
 
 def _gate_sql(kind: str) -> str:
@@ -471,14 +476,20 @@ def machine_score_bands_of_dictionary(spark, sf_dir):
     FROM presence LEFT JOIN online USING (date) LEFT JOIN bands USING (date)
       LEFT JOIN energy USING (date) LEFT JOIN cops USING (date) LEFT JOIN faults USING (date)""")
 def fleet_summary_daily(spark, sf_dir):
-    rows, compressor = tm.telemetry(spark, sf_dir), tm.component(spark, sf_dir, "compressor")
-    machines = _machines(spark, sf_dir)
+    """From stored hourly parts: the readings are scanned once for all figures."""
+    parts = _kpi_parts(spark, sf_dir)
+    compressor = parts.filter(F.col("component_type") == "compressor")
+    machines = kpis.machine_health_from_parts(parts)
     summary = kpis.fleet_summary(
-        machines, kpis.machines_online(compressor, rows), kpis.fleet_bands(machines),
-        facts.energy_consumption(_powered(spark, sf_dir)), compressor, facts.machine_alerts(rows))
+        machines, kpis.online_from_parts(compressor), kpis.fleet_bands(machines),
+        facts.energy_from_parts(parts), compressor, facts.alerts_from_parts(parts))
     return rounded(dated(summary), "avg_health_score", "total_energy_kwh", "avg_cop")
 
 
+def _kpi_parts(spark, sf_dir) -> DataFrame:
+    return stored(facts.kpi_parts(_powered(spark, sf_dir)), "kpi-parts")
+
+
 @query(_KPI + """SELECT CAST(date AS VARCHAR) AS date, location_id,
       round(coalesce(sum(kwh) FILTER (component_type = 'compressor'), 0), 6)
         AS compressor_power_kwh,
@@ -506,9 +517,11 @@ def location_energy_daily(spark, sf_dir):
     FROM place LEFT JOIN faults USING (date, location_id)
       LEFT JOIN cops USING (date, location_id)""")
 def location_performance_summary(spark, sf_dir):
+    """From the same parts."""
+    parts = _kpi_parts(spark, sf_dir)
     summary = kpis.location_performance(
-        _machines(spark, sf_dir), facts.machine_alerts(tm.telemetry(spark, sf_dir)),
-        facts.machine_performance_daily(tm.component(spark, sf_dir, "compressor")))
+        kpis.machine_health_from_parts(parts), facts.alerts_from_parts(parts),
+        facts.performance_from_parts(parts.filter(F.col("component_type") == "compressor")))
     return rounded(dated(summary), "avg_health_score", "avg_location_cop")
 
 
@@ -649,10 +662,11 @@ def upsert_merge(spark, sf_dir):
     WHERE component_type NOT IN ('compressor', 'condenser')""")
 def dead_letter_merge(spark, sf_dir):
     """Rejected rows of two components are stored, then all are sent; none is stored twice."""
-    _, invalid = quality.split_valid(checked(spark, sf_dir))
-    rows = invalid.select("event_id", "timestamp", "component_type", "failure_reason")
-    stored = rows.filter(F.col("component_type").isin("compressor", "condenser"))
-    return merge.insert_only(stored, rows, ["event_id"])
+    def rejected(*kinds: str) -> DataFrame:
+        _, invalid = quality.split_valid(checked(spark, sf_dir, kinds))
+        return invalid.select("event_id", "timestamp", "component_type", "failure_reason")
+
+    return merge.insert_only(rejected("compressor", "condenser"), rejected(*tm.TYPES), ["event_id"])
 
 
 # Ledger --------------------------------------------------------------------------------------
@@ -857,4 +871,5 @@ def expansion_valve_derived_columns(spark, sf_dir):
         "event_id", "is_active", "superheat_deviation_c", "is_faulted")
 
 
+import harness.gate_limits  # noqa: E402,F401  registers itself
 import harness.storage_queries  # noqa: E402,F401  registers queries of stored layers

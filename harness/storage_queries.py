@@ -3,8 +3,6 @@ back by their readers. The folders go when the application ends."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,20 +10,15 @@ from gaugeline.operators import dimensions, documents, reshape
 from gaugeline.plans import ingest, silver
 from gaugeline.sources import tables
 from gaugeline.sources.reference_data import read_topology
-from gaugeline.sources.scratch import Scratch, checkpoint_folder
-from gaugeline.sources.storage import join_path, make_until_exit
+from gaugeline.sources.scratch import Scratch
+from gaugeline.sources.storage import join_path
 from harness import telemetry as tm
+from harness.layers import layer
 from harness.queries import CHECKED, DAY, TELEMETRY, _topology, dated, query
 
 _MIDDLE = "1705363200000"  # 2024-01-16T00:00:00Z
 
 
-def layer(spark: SparkSession, name: str) -> str:
-    path = join_path(checkpoint_folder(spark), f"gaugeline-query-{name}-{uuid.uuid4().hex}")
-    make_until_exit(spark, path)
-    return path
-
-
 # Layers --------------------------------------------------------------------------------------
 
 @query(f"""WITH {tm.base_sql()} SELECT e AS event_id,
