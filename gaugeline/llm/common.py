@@ -11,6 +11,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gaugeline.sources.scratch import checkpoint_folder
+from gaugeline.sources.storage import delete_tree, make_until_exit
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
@@ -34,37 +37,56 @@ def workers_import_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = f"{root}:{known}" if known else root
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where a session names none, a folder of its warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return base or posixpath.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+def corpus_folder(spark: SparkSession) -> str:
+    """Folder of this application's tables, in the shared folder that ``spark.checkpoint.dir`` names.
+    It goes, with all in it, when the application ends."""
+    path = posixpath.join(checkpoint_folder(spark), f"corpus-{spark.sparkContext.applicationId}")
+    make_until_exit(spark, path)
+    return path
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and return it as read from there.
 
     Cuts lineage: what reads the table repeats none of the work behind it, and a lost executor
-    costs the tasks it was running. The cluster's clean-up of that folder removes the table.
+    costs the tasks it was running.
     """
     spark = df.sparkSession
-    path = posixpath.join(shared_folder(spark), "corpus", f"{name}-{uuid.uuid4().hex}")
+    path = posixpath.join(corpus_folder(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def remove(stored: DataFrame) -> None:
+    """Delete a table that :func:`store` returned and nothing reads any more."""
+    delete_tree(stored.sparkSession, stored.stored_at)
 
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
 
 
+def share_bound(distinct: Column, size: int) -> Column:
+    """Hash under which half as many again as ``size`` of so many distinct hashes lie, give or take; the
+    greatest one where there are few."""
+    share = F.lit(1.5 * size + 100) / F.greatest(distinct, F.lit(1))
+    return F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise(
+        ((share - 0.5) * F.lit(2.0 ** 64)).cast("long"))
+
+
 def hash_sample(df: DataFrame, key: Column, size: int) -> DataFrame:
     """Rows of the ``size`` distinct keys with the smallest hashes, one row for each.
 
-    Deterministic, independent of partitioning, and bounded however often a key is repeated. Only
-    hashes are ranked; rows are filtered by a number.
+    Deterministic, independent of partitioning, and bounded however often a key is repeated. Hashes
+    are counted first, so those that are ranked are about half as many again as ``size``, from however
+    many tasks.
     """
     hashed = df.withColumn("_sample_hash", F.xxhash64(key))
-    kept = hashed.select("_sample_hash").distinct().orderBy("_sample_hash").limit(size)
-    bound = kept.agg(F.max("_sample_hash")).first()[0]
+    limit = hashed.agg(share_bound(F.approx_count_distinct("_sample_hash", 0.02), size)).first()[0]
+    few = hashed.where(F.col("_sample_hash") <= limit).select("_sample_hash").distinct()
+    bound = few.orderBy("_sample_hash").limit(size).agg(F.max("_sample_hash")).first()[0]
     if bound is None:
         return hashed.limit(0)
     return hashed.where(F.col("_sample_hash") <= bound).dropDuplicates(["_sample_hash"])
@@ -74,22 +96,18 @@ def hash_sample_each(df: DataFrame, group: str, key: Column, size: int) -> DataF
     """For each value of the column ``group``, rows of the ``size`` distinct keys with the smallest
     hashes, one row for each.
 
-    Hashes are first counted in ranges, so only those of the ranges that hold the smallest are
-    ranked, however many a group has. One bound for each group goes to the tasks.
+    Hashes are counted first, so about half as many again as ``size`` are ranked of a group, however
+    many it has.
     """
     hashed = df.withColumn("_sample_hash", F.xxhash64(key))
-    ranges = hashed.select(group, "_sample_hash").distinct().withColumn(
-        "_range", F.shiftright("_sample_hash", 52))
-    counts = ranges.groupBy(group, "_range").count()
-    before = Window.partitionBy(group).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1)
-    wanted = counts.withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0))).where(
-        F.col("_before") < size).groupBy(group).agg(F.max("_range").alias("_last"))
-    few = ranges.join(F.broadcast(wanted), group).where(F.col("_range") <= F.col("_last"))
+    limits = hashed.groupBy(group).agg(share_bound(
+        F.approx_count_distinct("_sample_hash", 0.02), size).alias("_limit"))
+    few = (hashed.join(limits, group).where(F.col("_sample_hash") <= F.col("_limit"))
+           .select(group, "_sample_hash").distinct())
     place = F.row_number().over(Window.partitionBy(group).orderBy("_sample_hash"))
     bounds = few.withColumn("_place", place).where(F.col("_place") <= size).groupBy(group).agg(
         F.max("_sample_hash").alias("_bound"))
-    return (hashed.join(F.broadcast(bounds), group).where(F.col("_sample_hash") <= F.col("_bound"))
+    return (hashed.join(bounds, group).where(F.col("_sample_hash") <= F.col("_bound"))
             .drop("_bound").dropDuplicates([group, "_sample_hash"]))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import store
+from gaugeline.llm.common import remove, store
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -39,8 +39,10 @@ def connected_components(links: DataFrame, name: str) -> DataFrame:
 
     now = state(edges)
     while now[0]:
-        edges, before = store(small_star(large_star(edges)), name), now
+        older, before = edges, now
+        edges = store(small_star(large_star(edges)), name)
         now = state(edges)
+        remove(older)
         if now == before:
             break
     return (edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

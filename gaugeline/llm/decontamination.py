@@ -2,7 +2,9 @@
 
 The index is cut by documents into segments of bounded size, one stored row each, holding every
 indexed term's postings: positions counted through the segment, with a gap between documents that no
-match can bridge. Test windows come in blocks of bounded size. In each segment a window starts from
+match can bridge. Which terms those are is told by a bitmap of the terms that test items have, of
+bounded size. Test windows come in blocks of bounded size, each block's result stored before the next
+is read. In each segment a window starts from
 the postings of its rarest term there, moved by the term's offset, and intersects them with the
 moved postings of the next rarest. A window with a term the segment lacks costs nothing more.
 """
@@ -19,8 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from gaugeline.llm.common import store
+from gaugeline.llm.common import HashFilter, WordHashes, store
 
+HASHES = WordHashes()
 #: Lower-cases A-Z and blanks every other ASCII byte but digits and a-z; other bytes stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32
              for b in range(256))
@@ -43,10 +46,17 @@ def starts_of(n_words: np.ndarray, gap: int) -> np.ndarray:
     return np.cumsum(n_words.astype(np.int64) + gap) - n_words - gap
 
 
-def postings(batches, known: dict[bytes, int] | None, gap: int,
-             segment_words: int) -> Iterator[pa.RecordBatch]:
+def term_task(batches) -> Iterator[pa.RecordBatch]:
+    """Hashes of the distinct terms of a batch of test items."""
+    for batch in batches:
+        terms = {w for text in batch["text"] for w in words_of(text.as_py())}
+        hashes = np.fromiter(map(HASHES.__getitem__, terms), np.uint64, len(terms))
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["hash"])
+
+
+def postings(batches, wanted: HashFilter, gap: int, segment_words: int) -> Iterator[pa.RecordBatch]:
     first, written = TaskContext.get().partitionId() << 40, 0
-    doc_ids, sizes, ids, vocabulary = [], [], [], {} if known is None else known
+    doc_ids, sizes, ids, vocabulary = [], [], [], {}
 
     def segment() -> pa.RecordBatch:
         nonlocal written
@@ -65,8 +75,7 @@ def postings(batches, known: dict[bytes, int] | None, gap: int,
         written += 1
         for done in (doc_ids, sizes, ids):
             done.clear()
-        if known is None:
-            vocabulary.clear()
+        vocabulary.clear()
         return pa.RecordBatch.from_arrays(
             [pa.array(v, f.type) for v, f in zip(row, SEGMENT)], schema=SEGMENT)
 
@@ -74,12 +83,11 @@ def postings(batches, known: dict[bytes, int] | None, gap: int,
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
             words = words_of(text.as_py())
-            if known is None:
-                ids.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words),
-                                       np.int32, len(words)))
-            else:
-                get = known.get
-                ids.append(np.fromiter([get(w, -1) for w in words], np.int32, len(words)))
+            hashes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+            number = np.full(len(words), -1, np.int32)
+            for k in np.flatnonzero(wanted.maybe(hashes)).tolist():
+                number[k] = vocabulary.setdefault(words[k], len(vocabulary))
+            ids.append(number)
             doc_ids.append(doc_id)
             sizes.append(len(words))
             pending += len(words) + 1
@@ -90,16 +98,16 @@ def postings(batches, known: dict[bytes, int] | None, gap: int,
         yield segment()
 
 
-def build_index(docs: DataFrame, terms: list[bytes] | None = None, gap: int = 64,
+def build_index(docs: DataFrame, wanted: HashFilter, gap: int = 64,
                 segment_words: int = 400_000) -> DataFrame:
     """Segments of a positional index over the whole texts, one row each.
 
-    ``terms`` limits the postings to those a known test set asks for; without it every term is
-    indexed. Documents keep their order and number of words either way.
-    """
-    known = None if terms is None else {t: k for k, t in enumerate(terms)}
+    Terms that the filter surely lacks have no postings; documents keep their order and number of
+    words."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        lambda batches: postings(batches, known, gap, segment_words), from_arrow_schema(SEGMENT))
+        lambda batches: postings(batches, shared.value, gap, segment_words),
+        from_arrow_schema(SEGMENT))
 
 
 @dataclass
@@ -212,33 +220,36 @@ def find_passages(docs: DataFrame, tests: DataFrame, width: int = 10, slop: int
     words; an item with fewer is one window; an item without words has none.
 
     Null and empty texts have no words; an item whose id is null marks words but is not listed;
-    items that share an id count once; rows of ``docs`` that share one are matched each. Test items
-    come to the driver and tasks in blocks of about ``block_bytes``. Only with several blocks are
-    results, not texts, grouped by document.
+    items that share an id count once; rows of ``docs`` that share one are matched each. Texts of any
+    length are read whole, empty tables give no rows or no hits, and other columns are not read, whatever
+    their names. Distinct test items come to the driver and tasks in blocks of about ``block_bytes``, one
+    at a time. Only with several blocks are results, not texts, grouped by document.
     """
     gap = width + 2 * slop + 1
-    items = tests.select(F.col("item_id").cast("long"), F.col("text").cast("binary").alias("text"))
+    items = store(tests.select(F.col("item_id").cast("long"), F.col("text").cast("binary").alias("text"))
+                  .where(F.col("text").isNotNull()).distinct(), "test-items")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
-    numbered = items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
+    numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
 
     def windows(block: int) -> Windows:
         rows = numbered.where(F.col("block") == block).select("item_id", "text").collect()
-        return Windows.of(sorted(((i, bytes(t)) for i, t in rows if t is not None),
+        return Windows.of(sorted(((i, bytes(t)) for i, t in rows),
                                  key=lambda r: (r[0] is None, r)), width)
 
-    first = windows(0)
-    index = store(build_index(docs, first.names if blocks == 1 else None, gap), "postings")
+    terms = items.select("text").mapInArrow(term_task, "hash long").distinct()
+    index = store(build_index(docs, HashFilter(terms), gap), "postings")
 
-    def matched(block: Windows) -> DataFrame:
-        return index.mapInArrow(lambda batches: match_task(batches, block, gap, slop),
+    def matched(block: int) -> DataFrame:
+        own = docs.sparkSession.sparkContext.broadcast(windows(block))
+        return index.mapInArrow(lambda batches: match_task(batches, own.value, gap, slop),
                                 from_arrow_schema(MATCH))
 
     if blocks == 1:
-        return matched(first).drop("segment", "ordinal")
-    found = matched(first)
+        return matched(0).drop("segment", "ordinal")
+    found = store(matched(0), "passages")
     for block in range(1, blocks):
-        found = found.unionByName(matched(windows(block)))
+        found = found.unionByName(store(matched(block), "passages"))
     gathered = found.groupBy("segment", "ordinal").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         *[F.flatten(F.collect_list(c)).alias(c) for c in ("hits", "items", "near_items")])

@@ -77,7 +77,8 @@ def fit(sample: np.ndarray, codes: int, cosine: float, recall: float, most: int
     """Codebooks, and the number of visits two vectors need.
 
     Sampled vectors are paired with random ones at exactly the threshold cosine, the hardest case;
-    ``visits`` is the least number at which the share ``recall`` of the pairs has a common cell.
+    ``visits`` is the least number at which the share ``recall`` of the pairs has a common cell, ``most``
+    at first and twice as many as long as those do not do; visits of all cells find every pair.
     """
     rng = np.random.default_rng(seed)
     half = sample.shape[1] // 2
@@ -88,13 +89,27 @@ def fit(sample: np.ndarray, codes: int, cosine: float, recall: float, most: int
     aside -= (aside * x).sum(axis=1, keepdims=True) * x
     length = np.linalg.norm(aside, axis=1, keepdims=True)
     aside = np.divide(aside, length, out=np.zeros_like(aside), where=length > 0)
-    a, b = index.cells(x), index.cells(cosine * x + np.sqrt(1 - cosine ** 2) * aside)
-    # Visits after which a pair has met: the earliest place, in the later of the two lists.
-    places = np.arange(a.shape[1])
-    later = np.maximum(places[:, None], places[None, :])
-    met = np.where(a[:, :, None] == b[:, None, :], later, most).min(axis=(1, 2)) + 1
-    index.visits = int(min(most, np.sort(met)[max(0, int(np.ceil(recall * len(met))) - 1)]))
-    return index
+    y = cosine * x + np.sqrt(1 - cosine ** 2) * aside
+    cells = len(index.first) * len(index.second)
+    while True:
+        met = meetings(index, x, y, most)
+        index.visits = int(np.sort(met)[max(0, int(np.ceil(recall * len(met))) - 1)])
+        if index.visits <= most or most >= cells:
+            index.visits = min(index.visits, cells)
+            return index
+        most *= 2
+
+
+def meetings(index: MultiIndex, x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
+    """Visits after which each pair has met: the earliest place, in the later of the two lists; one more
+    than ``most`` where it has not."""
+    out = []
+    for k in range(0, len(x), 50):
+        a, b = index.cells(x[k:k + 50], most), index.cells(y[k:k + 50], most)
+        places = np.arange(a.shape[1])
+        later = np.maximum(places[:, None], places[None, :])
+        out.append(np.where(a[:, :, None] == b[:, None, :], later, most).min(axis=(1, 2)) + 1)
+    return np.concatenate(out)
 
 
 def place_task(batches, indexes: dict[int, tuple[int, MultiIndex]],

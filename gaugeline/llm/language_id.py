@@ -162,16 +162,19 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
 
 
 def train(labelled: DataFrame, size: int = 6_000, least_share: float = 0.01,
-          smoothing: float = 0.1) -> LanguageModel:
+          smoothing: float = 0.1, languages: int = 500) -> LanguageModel:
     """Fit on a frame of text and lang.
 
     Of each language the ``size`` distinct texts with letters and the smallest hashes are used (a
     bound, for the model is small), so every language that has such a text is learned; rows without
-    text or language are left out. A language is a candidate for the scripts that hold
+    text or language are left out. A column that names more than ``languages`` of them is taken for
+    dirty: those with most texts are learned, equal ones by name. A language is a candidate for the scripts that hold
     ``least_share`` of its words.
     """
     # Unassigned code points pass too: Python may know letters that the JVM does not.
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"[\p{L}\p{Cn}]"))
+    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    usable = usable.join(common.select("lang"), "lang", "left_semi")
     sample = hash_sample_each(usable.select("text", "lang"), "lang", F.struct("text", "lang"), size)
     counted = (sample.select("lang", "text").mapInArrow(count_task, from_arrow_schema(COUNTS))
                .groupBy("lang", "kind", "bucket").agg(F.sum("count").alias("count")).toPandas())

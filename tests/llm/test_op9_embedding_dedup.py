@@ -89,3 +89,12 @@ def test_every_length_is_compared(spark):
     for part in (df, df.where("size(embedding) = 1"), df.where("vec_id >= 502")):
         got = sorted(map(tuple, op.near_duplicate_vectors(part).collect()), key=repr)
         assert got == brute_by_length(part)
+
+
+def test_visits_grow_until_the_recall_is_met():
+    rng = np.random.default_rng(3)
+    sample = rng.normal(size=(2_000, 16))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    few = op.fit(sample, codes=16, cosine=0.6, recall=0.99, most=2)
+    many = op.fit(sample, codes=16, cosine=0.6, recall=0.99, most=256)
+    assert few.visits == many.visits > 2
