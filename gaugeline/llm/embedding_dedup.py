@@ -190,8 +190,9 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9, recall: floa
 
     Null and zero vectors and vectors with null or non-finite components link with nothing; so do
     rows without vec_id, which have no component and are kept. Vectors are compared with those of
-    their own length; of length 1, all of one sign are linked. Rows that share vec_id and vector are one vector; those that share only
-    the id are one node, whose links are added. Equal vectors are one class and are not compared.
+    their own length; of length 1, all of one sign are linked. Rows that share vec_id and vector are one
+    vector; those that share only the id are one node, whose links are added. Equal vectors are one class
+    and are not compared. An empty table gives no rows; other columns are not read, whatever their names.
 
     Each length has codebooks fitted on ``sample`` distinct vectors at most; every vector is indexed. Codes per
     half grow with the square root of the number of vectors, so that a cell keeps ``per_cell``. A

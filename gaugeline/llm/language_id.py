@@ -238,8 +238,9 @@ def predict(docs: DataFrame, model: LanguageModel, penalty: float = 6.0,
 
     Only text is looked at. ``spans`` are runs of words (runs of letters, numbered from 0) with
     their language; ``lang_pred`` has most letters, ``score`` is its share of them. A text that is
-    null or has no letter, or a model without languages, gives ``und``, 0 and no spans. Nothing is
-    shuffled; the model, of fixed size for each language, travels with the tasks.
+    null or has no letter, or a model without languages, gives ``und``, 0 and no spans. Texts of any
+    length are read whole, repeated rows are predicted each, an empty table gives no rows, and other
+    columns are not read, whatever their names. Nothing is shuffled; the model, of fixed size for each language, travels with the tasks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(

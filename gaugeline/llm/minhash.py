@@ -266,7 +266,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
     fewer words). ``component_id`` is the least doc_id reachable by links, ``kept`` tells whether it
     is the document's own. Null, empty and blank texts have no shingles and are linked with nothing.
     Rows that share a doc_id are one node, each with its own number of shingles; a row without
-    doc_id is linked with nothing, has no component and is kept. Ties do not arise.
+    doc_id is linked with nothing, has no component and is kept. Ties do not arise. Texts of any length
+    are read whole, an empty table gives no rows, and other columns are not read, whatever their names.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     sketches = store(texts.mapInArrow(lambda batches: sketch_task(batches, words, bands),

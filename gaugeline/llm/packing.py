@@ -191,7 +191,8 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1,
     unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     A document is its ids and ``end_id``. Null and empty texts are that id alone; rows that share a
-    doc_id are documents of their own, and a null doc_id stays null. Nothing is shuffled, and a task
+    doc_id are documents of their own, and a null doc_id stays null. Long documents are cut, an empty
+    table gives no rows, and other columns are not read, whatever their names. Nothing is shuffled, and a task
     holds fewer than ``size`` times ``size`` ids, whatever its share of documents. Window numbers
     hold the partition, so a repeated task gives the same numbers.
     """

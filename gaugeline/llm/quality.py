@@ -186,7 +186,9 @@ def importance_resample(docs: DataFrame, labels: DataFrame, k: int | None = None
 
     Null and empty texts have weight 0 (no evidence). Noise depends on the text and ``seed`` alone,
     so copies go together, and rows tied at the cut are all kept. Without labels of both kinds, and
-    without ``k``, all rows are kept. Rows without doc_id are scored like others.
+    without ``k``, all rows are kept. Rows without doc_id are scored like others. Texts of any length
+    are read whole, an empty table gives no rows, and other columns of either table are not read,
+    whatever their names.
     """
     labelled = with_labels(docs, labels, rows, seed)
     model = fit(labelled)

@@ -356,7 +356,9 @@ def remove_repeated(docs: DataFrame, window: int = 35) -> DataFrame:
     words that also starts elsewhere, in another row or the same, is removed, the first occurrence
     included; windows are judged on the input. ``kept_text`` is the other words joined by a space.
     Null, empty and short texts lose nothing (null gives an empty text). Rows that share a doc_id
-    are documents of their own; equal rows repeat each other; a null doc_id stays null.
+    are documents of their own; equal rows repeat each other; a null doc_id stays null. Texts of any
+    length are read whole, an empty table gives no rows, and other columns are not read, whatever their
+    names.
 
     Words are compared by 64-bit hashes of each, so two windows are taken for equal wrongly only if
     all words that differ collide.

@@ -121,8 +121,9 @@ def judge(urls: DataFrame, rules: Sequence[Rule], model: UrlModel) -> DataFrame:
     model's.
 
     One pass without a shuffle. A null url, or one without ``://``, has an empty host and path, fits
-    no rule and gets the model's verdict on no characters. Repeated rows are judged alike. Columns
-    of these names that the input already has are replaced.
+    no rule and gets the model's verdict on no characters. Repeated rows are judged alike, a URL of any
+    length is read whole, and an empty table stays empty. Columns of these names that the input already
+    has are replaced.
     """
     parts = with_host_and_path(urls.drop("host", "path", "rule", "verdict"))
     ruled = model.verdict(parts.withColumn("_fit", fitting_rule(rules)))
