@@ -2,7 +2,7 @@
 
 Items are weighted term sets and a document's score is a sum over their terms, so items that share
 terms share parts of their sums. The shared sets are mined first: in rounds, terms of an item are put
-in order of how many items have them, and neighbours that two or more items share become a node, the
+in order of how many items have them, and pairs close by that two or more items share become a node, the
 sum of both. Nodes and items form a DAG. Documents are then read in blocks: each node's accumulator,
 one partial score for each document of the block, is worked out once and added into everything that
 uses it, level by level; items are sums of few nodes. Each task keeps the best documents of an item
@@ -86,44 +86,45 @@ def vector_task(batches, wanted: HashFilter) -> Iterator[pa.RecordBatch]:
             schema=VECTORS)
 
 
-def shared_sets(items: list[list[int]], leaves: int, rounds: int = 12
+def shared_sets(items: list[list[int]], leaves: int, rounds: int = 12, reach: int = 16
                 ) -> tuple[list[tuple[int, int]], list[list[int]]]:
     """Mine sets that several items share: (pairs of the inner nodes, nodes of each item).
 
-    Nodes below ``leaves`` are given; node ``leaves + k`` is the sum of the pair k. Memory and time are
-    in proportion to the items' sizes in each round: only neighbours are counted, in the order of how
-    many items have a node, so that what items share lies together.
+    Nodes below ``leaves`` are given; node ``leaves + k`` is the sum of the pair k. In each round an item's
+    nodes are put in the order of how many items have them, so that what items share lies together;
+    pairs at most ``reach`` places apart are counted, and an item takes those that most items have. Time
+    and memory are in proportion to the items' sizes.
     """
     pairs: list[tuple[int, int]] = []
     for _ in range(rounds):
         users = Counter(node for item in items for node in item)
-        ordered = [sorted(item, key=lambda node: (-users[node], node)) for item in items]
-        counts = Counter(pair for item in ordered for pair in zip(item, item[1:]))
-        numbers: dict[tuple[int, int], int] = {}
-        taken = Counter()
-        cut = []
+        ordered = [sorted((n for n in item if users[n] > 1), key=lambda n: (-users[n], n))
+                   for item in items]
+
+        def near(item: list[int]) -> Iterator[tuple[int, int]]:
+            return ((a, b) for k, a in enumerate(item) for b in item[k + 1:k + 1 + reach])
+
+        counts = Counter(pair for item in ordered for pair in near(item))
+        chosen: list[list[tuple[int, int]]] = []
         for item in ordered:
-            parts, k = [], 0
-            while k < len(item):
-                pair = tuple(item[k:k + 2])
-                ahead = counts.get(tuple(item[k + 1:k + 3]), 0)
-                if len(pair) == 2 and counts[pair] >= max(2, ahead):
-                    parts.append(pair)
-                    taken[pair] += 1
-                    k += 2
-                else:
-                    parts.append(item[k])
-                    k += 1
-            cut.append(parts)
-        for pair, times in taken.items():
-            if times >= 2:
-                numbers[pair] = leaves + len(pairs)
-                pairs.append(pair)
+            used: set[int] = set()
+            own = []
+            for pair in sorted((p for p in near(item) if counts[p] > 1),
+                               key=lambda p: (-counts[p], p)):
+                if used.isdisjoint(pair):
+                    used.update(pair)
+                    own.append(pair)
+            chosen.append(own)
+        taken = Counter(pair for own in chosen for pair in own)
+        numbers = {pair: leaves + len(pairs) + k for k, pair in enumerate(
+            pair for pair, times in taken.items() if times > 1)}
         if not numbers:
             break
-        items = [[node for part in parts for node in (
-            [part] if isinstance(part, int) else [numbers[part]] if part in numbers else part)]
-            for parts in cut]
+        pairs += numbers
+        for k, own in enumerate(chosen):
+            made = [pair for pair in own if pair in numbers]
+            gone = {node for pair in made for node in pair}
+            items[k] = [n for n in items[k] if n not in gone] + [numbers[pair] for pair in made]
     return pairs, items
 
 
