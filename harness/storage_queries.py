@@ -3,11 +3,14 @@ back by their readers. The folders go when the application ends."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.operators import dimensions, documents, reshape
 from gaugeline.plans import ingest, silver
+from gaugeline.plans.concurrent import run_all
 from gaugeline.sources import tables
 from gaugeline.sources.reference_data import read_topology
 from gaugeline.sources.scratch import Scratch
@@ -85,9 +88,8 @@ def silver_job(spark, sf_dir):
     """Staging to silver and dead letters, run twice and once for a range without data."""
     root = layer(spark, "silver")
     staging, out = join_path(root, "staging"), join_path(root, "silver")
-    for kind in tm.TYPES:
-        tables.append(reshape.with_event_date(tm.dirty(spark, sf_dir, kind)),
-                      join_path(staging, kind), ["date"], rebalance=True)
+    run_all({kind: partial(tables.append, reshape.with_event_date(tm.dirty(spark, sf_dir, kind)),
+                           join_path(staging, kind), ["date"], rebalance=True) for kind in tm.TYPES})
     for start in (None, None, "2030-01-01"):
         silver.staging_to_silver(spark, staging, out, start, now_ms=tm.NOW_MS)
     none = spark.createDataFrame([], "component_type string, failure_reason string")
