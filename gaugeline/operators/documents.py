@@ -127,16 +127,19 @@ def document_readings(parsed: DataFrame, schema: T.StructType | None = None) ->
                          F.coalesce(rests, F.array().cast(f"array<{_REST}>")).alias("rest"))
     lost = F.array(F.struct(F.lit(None).cast(schema["records"].dataType.elementType).alias("record"),
                             F.lit(None).cast(_REST).alias("rest")))
-    rows = parsed.select(
+    # Beside an explode, what concerns the document would be worked out for each of its readings.
+    whole = parsed.select(
         "path", "at", REASON, "text", *[of_envelope(n) for n in envelope],
         _rest(F.col("variant"), {*envelope, "records", "rawPayload"}).alias("outer"),
-        F.posexplode(F.when(F.col(REASON).isNotNull(), lost).otherwise(items)).alias("n", "item"))
+        F.when(F.col(REASON).isNotNull(), lost).otherwise(items).alias("items"))
+    rows = whole.select(*[c for c in whole.columns if c != "items"],
+                        F.posexplode("items").alias("n", "item"))
     inner = F.coalesce(F.col("item.rest"), F.create_map().cast(_REST))
     unknown = F.map_concat("outer", F.map_filter(
         inner, lambda name, _: ~F.array_contains(F.map_keys("outer"), name)))
     return with_event_date(rows.select(
         "path", REASON, "text", F.concat_ws("#", "path", "at", "n").alias(PLACE),
-        F.when(F.size(unknown) > 0, unknown).alias(UNKNOWN), *envelope,
+        F.when((F.size("outer") > 0) | (F.size("item.rest") > 0), unknown).alias(UNKNOWN), *envelope,
         *[typed(n, F.col("item.record")[n]).alias(n) for n in record if n not in envelope]))
 
 
