@@ -139,7 +139,7 @@ class HashFilter:
 class WordHashes(dict):
     """64-bit hashes of words, worked out when first asked for; a bounded number is remembered."""
 
-    def __init__(self, remembered: int = 400_000):
+    def __init__(self, remembered: int = 300_000):
         super().__init__()
         self.remembered = remembered
 
@@ -148,3 +148,7 @@ class WordHashes(dict):
         if len(self) < self.remembered:
             self[word] = value
         return value
+
+
+#: Shared by the operators: a worker that runs several of them one after another remembers words once.
+HASHES = WordHashes()

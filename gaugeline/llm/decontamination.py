@@ -21,9 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from gaugeline.llm.common import HashFilter, WordHashes, store
-
-HASHES = WordHashes()
+from gaugeline.llm.common import HASHES, HashFilter, store
 #: Lower-cases A-Z and blanks every other ASCII byte but digits and a-z; other bytes stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32
              for b in range(256))

@@ -27,13 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from gaugeline.llm.common import HashFilter, WordHashes, store
+from gaugeline.llm.common import HASHES, HashFilter, store
 
 #: Every byte that is no letter, digit or part of a character beyond ASCII to a space, A-Z lowered.
 TERM_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
     for b in range(256))
-HASHES = WordHashes()
 BAGS = pa.schema([("item_id", pa.int64()), ("key", pa.binary()), ("place", pa.float64()),
                   ("terms", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 VECTORS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("terms", pa.list_(pa.int64())),

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import DoubleType
 
-from gaugeline.llm.common import HashFilter, WordHashes, store
+from gaugeline.llm.common import HASHES, HashFilter, store
 from gaugeline.llm.components import connected_components
 
 #: Lower-cases A-Z, leaves every other byte.
@@ -36,8 +36,6 @@ LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 SET = pa.schema([("id", pa.int64()), ("key", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
 
-HASHES = WordHashes()
-
 
 def shingle_set(text: bytes | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles; of the whole where it is shorter."""

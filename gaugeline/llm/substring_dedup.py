@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from gaugeline.llm.common import HashFilter, WordHashes, store
+from gaugeline.llm.common import HASHES, HashFilter, store
 
 #: Words of a gram; doubling makes its hash.
 GRAM = 16
@@ -36,7 +36,6 @@ HOT = 2_000
 SHARD_WORDS = 60_000
 #: Bytes of runs in which an input batch looks for equal ones before it sends them.
 GATHERED = 64 << 20
-HASHES = WordHashes()
 ANCHORS = pa.schema([("hash", pa.int64()), ("times", pa.int64())])
 #: A run of windows for the shard of its anchor, without a place if it stands for several that are
 #: settled; a window of a hot anchor, for the shard of its first hash, with its second for words; or,
