@@ -135,6 +135,10 @@ class HashFilter:
         at = hashes.view(np.uint64) >> np.uint64(self.shift)
         return (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)) > 0
 
+    def may_hold(self, value: int) -> bool:
+        at = value >> self.shift
+        return bool(int(self.bits[at >> 6]) >> (at & 63) & 1)
+
 
 class WordHashes(dict):
     """64-bit hashes of words, worked out when first asked for; a bounded number is remembered."""

@@ -52,28 +52,40 @@ def term_task(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["hash"])
 
 
+class SegmentTerms(dict):
+    """Numbers of a segment's terms in the order they come; -1 for those that the filter lacks."""
+
+    def __init__(self, wanted: HashFilter):
+        super().__init__()
+        self.wanted, self.names = wanted, []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.names) if self.wanted.may_hold(HASHES[word]) else -1
+        if number >= 0:
+            self.names.append(word)
+        return number
+
+
 def postings(batches, wanted: HashFilter, gap: int, segment_words: int) -> Iterator[pa.RecordBatch]:
     first, written = TaskContext.get().partitionId() << 40, 0
-    doc_ids, sizes, ids, vocabulary = [], [], [], {}
+    doc_ids, sizes, ids, vocabulary = [], [], [], SegmentTerms(wanted)
 
     def segment() -> pa.RecordBatch:
-        nonlocal written
+        nonlocal written, vocabulary
         n_words = np.array(sizes, np.int32)
         flat = np.concatenate(ids)
         position = np.arange(len(flat)) + np.repeat(gap * np.arange(len(n_words)), n_words)
         position = position[flat >= 0].astype(np.int32)
         flat = flat[flat >= 0]
         order = np.argsort(flat, kind="stable")
-        counts = np.bincount(flat, minlength=len(vocabulary))
-        present = np.flatnonzero(counts)
-        names = list(vocabulary)
-        row = [[first + written], [doc_ids[:]], [n_words], [[names[t] for t in present]],
-               [counts[present].astype(np.int32)],
+        counts = np.bincount(flat, minlength=len(vocabulary.names))
+        row = [[first + written], [doc_ids[:]], [n_words], [vocabulary.names],
+               [counts.astype(np.int32)],
                [np.diff(position[order], prepend=np.int32(0)).tobytes()]]
         written += 1
         for done in (doc_ids, sizes, ids):
             done.clear()
-        vocabulary.clear()
+        vocabulary = SegmentTerms(wanted)
         return pa.RecordBatch.from_arrays(
             [pa.array(v, f.type) for v, f in zip(row, SEGMENT)], schema=SEGMENT)
 
@@ -81,11 +93,7 @@ def postings(batches, wanted: HashFilter, gap: int, segment_words: int) -> Itera
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
             words = words_of(text.as_py())
-            hashes = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
-            number = np.full(len(words), -1, np.int32)
-            for k in np.flatnonzero(wanted.maybe(hashes)).tolist():
-                number[k] = vocabulary.setdefault(words[k], len(vocabulary))
-            ids.append(number)
+            ids.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
             doc_ids.append(doc_id)
             sizes.append(len(words))
             pending += len(words) + 1
