@@ -143,7 +143,7 @@ class HashFilter:
 class WordHashes(dict):
     """64-bit hashes of words, worked out when first asked for; a bounded number is remembered."""
 
-    def __init__(self, remembered: int = 300_000):
+    def __init__(self, remembered: int = 150_000):
         super().__init__()
         self.remembered = remembered
 

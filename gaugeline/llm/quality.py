@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from gaugeline.llm.common import hash_sample, store
 
 TOKENS = re.compile(r"\w+|[^\w\s]+").findall
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Buckets of word n-grams, and of n-grams of three shapes of 16 kinds.
 WORDS, SHAPES = 1 << 12, 1 << 12
 COUNTS = pa.schema([("target", pa.bool_()), ("bucket", pa.int32()), ("count", pa.int64())])
