@@ -19,40 +19,54 @@ MACHINE_COMPONENTS = (
 # End of fixed values.
 
 
+def _swapped(replacements: DataFrame, on_date: dt.date | str) -> DataFrame:
+    """One row per machine with swaps in force: a map from the slot, its place in ``MACHINE_COMPONENTS``,
+    to the component of the latest one. A map has no more entries than a machine has slots."""
+    slot = F.coalesce(*[F.when((F.col("component_type") == kind) & F.col("circuit_id").eqNullSafe(
+        F.lit(circuit).cast("string")), k) for k, (kind, _, circuit) in enumerate(MACHINE_COMPONENTS)])
+    latest = Window.partitionBy("hvac_machine_id", "_slot").orderBy(
+        F.col("effective_date").desc(), F.col("component_id"))
+    known = (replacements.filter(F.col("effective_date") <= F.lit(str(on_date)).cast("date"))
+             .withColumn("_slot", slot).filter("_slot IS NOT NULL AND hvac_machine_id IS NOT NULL"))
+    # Dealt by machine, rows are ranked and gathered where they are.
+    return (known.select("hvac_machine_id", "_slot", "effective_date", "component_id")
+            .repartition("hvac_machine_id")
+            .withColumn("_rank", F.row_number().over(latest)).filter("_rank = 1")
+            .groupBy(F.col("hvac_machine_id").alias("_machine")).agg(F.map_from_entries(
+                F.collect_list(F.struct("_slot", "component_id"))).alias("_swaps")))
+
+
 def component_registry(machines: DataFrame, locations: DataFrame, companies: DataFrame,
                        replacements: DataFrame | None, on_date: dt.date | str) -> DataFrame:
     """One row per component. Ids are built from the location and machine numbers.
 
     ``replacements`` (hvac_machine_id, component_type, circuit_id, component_id, effective_date)
-    lists swapped components; the latest swap in force on ``on_date`` applies.
+    lists swapped components; the latest swap in force on ``on_date`` applies. Swaps meet machines, not
+    components, so what is shuffled is a row per machine; a use that names no component id needs no swaps.
     """
     site = snake_case_columns(locations).join(
         snake_case_columns(companies).select("company_id", "company_name"), "company_id")
-    fleet = snake_case_columns(machines).join(site, "location_id")
+    fleet = snake_case_columns(machines).join(site, "location_id").select(
+        "company_id", "company_name", "location_id", "location_name", "city", "state", "country",
+        "hvac_machine_id", "manufacturer", "model")
+    columns = [*fleet.columns, "component_type", "circuit_id", "component_id"]
     location_no = F.element_at(F.split("location_id", "-"), 2).cast("int")
     machine_no = F.element_at(F.split("hvac_machine_id", "-"), -1).cast("int")
+    component_id = F.concat(F.col("_slot.prefix"), F.lit("-"), F.col("_number"),
+                            F.coalesce("_slot.circuit_id", F.lit("")))
+    if replacements is not None:
+        swaps = _swapped(replacements, on_date)
+        fleet = fleet.join(swaps, F.col("hvac_machine_id") == F.col("_machine"), "left")
+        component_id = F.coalesce(F.col("_swaps")[F.col("_slot.place")], component_id)
     slots = F.array(*[F.struct(
-        F.lit(kind).alias("component_type"), F.lit(circuit).cast("string").alias("circuit_id"),
-        F.format_string(f"{prefix}-%02d%02d{circuit or ''}", location_no, machine_no)
-        .alias("component_id")) for kind, prefix, circuit in MACHINE_COMPONENTS])
-    registry = (fleet.withColumn("_slot", F.explode(slots))
-                .select("company_id", "company_name", "location_id", "location_name", "city",
-                        "state", "country", "hvac_machine_id", "manufacturer", "model", "_slot.*"))
-    if replacements is None:
-        return registry
-    latest = Window.partitionBy("hvac_machine_id", "component_type", "circuit_id").orderBy(
-        F.col("effective_date").desc(), F.col("component_id"))
-    swaps = (replacements.filter(F.col("effective_date") <= F.lit(str(on_date)).cast("date"))
-             .withColumn("_rank", F.row_number().over(latest)).filter("_rank = 1")
-             .select(F.col("hvac_machine_id").alias("_machine"),
-                     F.col("component_type").alias("_type"), F.col("circuit_id").alias("_circuit"),
-                     F.col("component_id").alias("_new")))
-    here = ((F.col("hvac_machine_id") == F.col("_machine"))
-            & (F.col("component_type") == F.col("_type"))
-            & F.col("circuit_id").eqNullSafe(F.col("_circuit")))
-    return (registry.join(swaps, here, "left")
-            .withColumn("component_id", F.coalesce("_new", "component_id"))
-            .select(*registry.columns))
+        F.lit(k).alias("place"), F.lit(kind).alias("component_type"),
+        F.lit(circuit).cast("string").alias("circuit_id"), F.lit(prefix).alias("prefix"))
+        for k, (kind, prefix, circuit) in enumerate(MACHINE_COMPONENTS)])
+    return (fleet.withColumn("_number", F.format_string("%02d%02d", location_no, machine_no))
+            .withColumn("_slot", F.explode(slots))
+            .withColumns({"component_type": F.col("_slot.component_type"),
+                          "circuit_id": F.col("_slot.circuit_id"), "component_id": component_id})
+            .select(*columns))
 
 
 def fleet_manifest(registry: DataFrame) -> DataFrame:

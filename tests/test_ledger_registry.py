@@ -91,6 +91,42 @@ def test_registry_and_replacement(spark):
     assert registry.component_registry(*topology(spark), None, "2026-03-15").count() == 12
 
 
+def test_swaps_meet_machines_before_these_become_components(spark):
+    schema = ("hvac_machine_id string, component_type string, circuit_id string, component_id string, "
+              "effective_date date")
+    swaps = spark.createDataFrame(
+        [("HVAC-01-01", "compressor", "A", "older", d("2026-03-01")),
+         ("HVAC-01-01", "compressor", "A", "b", d("2026-03-02")),
+         ("HVAC-01-01", "compressor", "A", "a", d("2026-03-02")),
+         ("HVAC-01-01", "condenser", None, "new", d("2026-03-02")),
+         ("HVAC-01-01", "condenser", "A", "no such slot", d("2026-03-02")),
+         ("HVAC-01-01", "boiler", None, "no such kind", d("2026-03-02")),
+         ("HVAC-12-03", "evaporator", None, "dropped", d("2026-03-01")),
+         ("HVAC-12-03", "evaporator", None, None, d("2026-03-02")),
+         ("HVAC-12-03", "expansion_valve", "B", "undated", None),
+         (None, "compressor", "A", "of no machine", d("2026-03-02"))], schema)
+    machines, locations, companies = topology(spark)
+    machines = machines.unionByName(spark.createDataFrame(
+        [(None, "LOC-01", "Maker", "Z"), ("HVAC-12-03", "LOC-12", "Maker", "Y")], machines.schema))
+    got = registry.component_registry(machines, locations, companies, swaps, "2026-03-15")
+    ids = {}
+    for r in got.collect():
+        ids.setdefault(r["hvac_machine_id"], []).append(r["component_id"])
+    assert sorted(ids["HVAC-01-01"]) == ["COMP-0101B", "EVAP-0101", "EXV-0101A", "EXV-0101B", "a", "new"]
+    assert sorted(ids["HVAC-12-03"]) == sorted(2 * [
+        "COMP-1203A", "COMP-1203B", "COND-1203", "EVAP-1203", "EXV-1203A", "EXV-1203B"])
+    assert len(ids[None]) == 6 and "of no machine" not in ids[None]
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    # A plan is printed from its last step to its first.
+    assert plan(got).index("Generate explode") < plan(got).index("LeftOuter")
+    manifest = registry.fleet_manifest(got)
+    assert "LeftOuter" not in plan(manifest)
+    assert "LeftOuter" not in plan(registry.fleet_totals(manifest))
+
+
 def test_manifest_and_totals(spark):
     parts = registry.component_registry(*topology(spark), None, "2025-01-01")
     manifest = registry.fleet_manifest(parts)
