@@ -148,7 +148,9 @@ _TEXT = (f"CASE e % 10 WHEN 0 THEN left({_DOC}, 40) WHEN 1 THEN concat('[', {_DO
 
 def _ingested(spark, sf_dir) -> str:
     path = layer(spark, "bronze")
-    texts = tm._spark_base(spark, sf_dir).selectExpr(f"{_TEXT} AS text", "concat('f-', e) AS path")
+    base = tm._spark_base(spark, sf_dir)
+    # Few bytes of the table make much JSON to parse: rows are dealt evenly, not by the file's few splits.
+    texts = base.repartition(*base.columns).selectExpr(f"{_TEXT} AS text", "concat('f-', e) AS path")
     ingest.write_bronze(documents.document_readings(documents.parse_documents(texts)), path)
     return path
 

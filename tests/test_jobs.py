@@ -161,3 +161,18 @@ def test_ledger_without_any_data(spark, tmp_path):
     window = ledger.plan_window(spark, str(tmp_path / "l"), str(tmp_path / "raw"), 2,
                                 today=dt.date(2025, 5, 5))
     assert (window.start, window.end) == (dt.date(2025, 5, 5), dt.date(2025, 5, 6))
+
+
+def test_raw_texts_are_dealt_out_before_they_are_parsed(spark, tmp_path, monkeypatch):
+    """However few splits the table has, its JSON is parsed by all tasks; equal rows stay as many."""
+    from harness import storage_queries as sq
+    rows = [(k, f"2024-01-{1 + k % 28:02d} 00:00:00", k % 4, "view", k / 4) for k in (*range(20), 4, 4)]
+    spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double") \
+        .selectExpr("event_id", "CAST(ts AS TIMESTAMP) AS ts", "user_id", "event_type", "value") \
+        .coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    parse = sq.documents.parse_documents
+    monkeypatch.setattr(sq.documents, "parse_documents", lambda texts: seen.append(texts) or parse(texts))
+    dead = sq.raw_texts_dead(spark, str(tmp_path)).collect()
+    assert "RepartitionByExpression" in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["path"] for r in dead) == ["f-0", "f-10", "f-14", "f-4", "f-4", "f-4"]
