@@ -42,8 +42,11 @@ def op2_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secret_scan.train(secret_scan.pattern_labelled(docs))
     found = secret_scan.with_secret_spans(docs, model)
-    counts = [F.size(F.filter("base_found", lambda s, k=k: s["kind"] == k)).cast("long")
-              .alias(f"n_{name}") for k, name in enumerate(secret_scan.BASE)]
+
+    def count(kind):  # a second parameter of the lambda, even one with a default, would be the index
+        return F.size(F.filter("base_found", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(secret_scan.BASE)]
     return found.select("doc_id", *counts,
                         F.sha2(secret_scan.joined(F.col("base_found")), 256).alias("base_sha256"),
                         secret_scan.joined(F.col("all_found")).alias("spans"))
