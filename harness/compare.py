@@ -13,7 +13,11 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
-from harness.queries import ORACLES, QUERIES
+from gaugeline.llm import queries as corpus
+from harness import queries
+
+QUERIES = {**queries.QUERIES, **corpus.QUERIES}
+ORACLES = {**queries.ORACLES, **corpus.ORACLES}
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
